@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomgraph.plans import q_structure, q_text
+
 
 def modules() -> list:
-    return []
+    return [q_text, q_structure]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
