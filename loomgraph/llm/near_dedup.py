@@ -6,8 +6,9 @@ node first (aggregation with partial sums, so a group of copies of any size cost
 the nodes' signatures make buckets. Within a bucket only star edges centre-member are proposed, so
 their number is linear in the bucket. Edges are confirmed on full sets. As a star may miss a link
 between two members that the centre lacks, buckets whose members lie in several components after the
-first round are revisited: the members outside the centre's component are paired with the bucket's
-members of other components, until no such pair is untested. No cap drops a pair.
+first round are revisited: the members outside the centre's component meet the bucket's members of
+other components in bounded blocks. A pair leaves its block only if an exact bound on its overlap, from
+the shingles counted by hash cell, doesn't rule the link out; then full sets decide. No cap drops a pair.
 
 Defined results: null, empty or white-space text: n_shingles 0, linked with nothing. Rows that share
 a doc_id are one document and are linked. A null doc_id is linked with nothing: component_id null,
@@ -25,6 +26,8 @@ from loomgraph.llm.shingles import mix, shingle_hashes, word_hashes
 
 BANDS, ROWS = 32, 5
 _SLICE = 1 << 20
+#: Hash cells of a text's profile, and rows of either side of a block of pairs.
+CELLS, BLOCK = 256, 2048
 
 
 def _probe_order(bins: int) -> np.ndarray:
@@ -137,7 +140,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     member = reps.select(F.explode("bands").alias("band"), F.col("rep").alias("id"), F.col("n_shingles").alias("n"))
     buckets = member.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("m")).filter("m > 1").select(F.col("band").alias("key"), "a")
     shared = materialise(member.join(buckets, F.col("band") == F.col("key")).select("band", "id", "n", "a"))
-    alike = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     star = materialise(shared.filter("id <> a").select("a", F.col("id").alias("b")).distinct())
     links = _confirmed(star, docs, width, percent)
     # a doc_id with several texts is one document
@@ -146,7 +148,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     same = rep_of.join(same.select("doc_id", "x"), "doc_id").filter("rep <> x").select(F.col("rep").alias("a"), F.col("x").alias("b"))
     links = materialise(links.union(same).distinct())
     found = materialise(components(links))
-    more = materialise(_untested(shared, found, alike))
+    more = materialise(_untested(shared, found, docs, width, percent, bands, rows))
     if more.head(1):
         new = materialise(_confirmed(more, docs, width, percent))
         if new.head(1):
@@ -157,15 +159,100 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _untested(shared: DataFrame, found: DataFrame, alike) -> DataFrame:
-    """Pairs within a bucket, of different components, that no star edge has tested."""
+def _profiles(width: int, bands: int, rows: int):
+    """For each text: its shingles counted by CELLS hash cells (of the least width that holds them), and its band keys."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        probe = _probe_order(bands * rows)
+        for batch in batches:
+            raw, offsets, _ = letters_of(batch, 1)
+            for lo, hi in row_slices(offsets, _SLICE):
+                n = hi - lo
+                r, h = shingle_hashes(*word_hashes(raw, offsets[lo : hi + 1]), width)
+                cells = np.bincount(r * CELLS + (h & np.uint64(CELLS - 1)).astype(np.int64), minlength=n * CELLS).reshape(n, CELLS)
+                keys = band_keys(signatures(r, h, n, bands * rows, probe)[0], bands, rows)
+                fit = [c.astype(np.uint8 if c.max() < 256 else np.uint32).tobytes() for c in cells]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(fit, pa.binary()), pa.array([k.tobytes() for k in keys], pa.binary())], names=["id", "cells", "keys"])
+
+    return run
+
+
+def _survivors(percent: int):
+    """Of each block of a bucket (rows sorted by band, i, j), the pairs outside-member that differ in component, may be
+    similar enough by length and by their cells (a proof, not an estimate), and share no earlier band."""
+
+    def compare(rows) -> list[tuple[int, int]]:
+        band = rows["band"][0]
+        n, ids, comp = rows["n"], rows["id"], rows["component"]
+        cells = [np.frombuffer(c, np.uint8 if len(c) == CELLS else np.uint32) for c in rows["cells"]]
+        wide = any(c.dtype != np.uint8 for c in cells)
+        cells = np.stack(cells).astype(np.int64 if wide else np.int16)
+        keys = np.stack([np.frombuffer(k, np.int64) for k in rows["keys"]])
+        left, right = np.flatnonzero(rows["outside"]), np.flatnonzero(~rows["outside"])
+        out = []
+        for x in left:
+            y = right[comp[right] != comp[x]]
+            y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
+            total = n[y] + n[x]
+            most = (total - np.abs(cells[y] - cells[x]).sum(axis=1)) // 2
+            y = y[100 * most >= percent * (total - most)]
+            if len(y):
+                y = y[keys[x][(keys[y] == keys[x]).argmax(axis=1)] == band]
+                out += [(min(ids[x], ids[k]), max(ids[x], ids[k])) for k in y]
+        return out
+
+    def run(batches):
+        import pyarrow as pa
+
+        names, held = ["band", "i", "j", "outside", "id", "n", "component", "cells", "keys"], None
+
+        def columns(t):
+            return {c: np.array(t.column(c).to_pylist(), object) if c in ("cells", "keys") else t.column(c).to_numpy(zero_copy_only=False) for c in names}
+
+        def done(t):
+            c = columns(t)
+            cut = np.flatnonzero((np.diff(c["band"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)) + 1
+            pairs = []
+            for lo, hi in zip(np.r_[0, cut], np.r_[cut, len(c["band"])], strict=True):
+                pairs += compare({k: v[lo:hi] for k, v in c.items()})
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = pa.concat_batches([held, batch]) if held is not None else batch
+            last = [held.column(k)[held.num_rows - 1].as_py() for k in range(3)]
+            same = np.logical_and.reduce([held.column(k).to_numpy(zero_copy_only=False) == last[k] for k in range(3)])
+            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            if cut:
+                yield done(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield done(held)
+
+    return run
+
+
+def _untested(shared: DataFrame, found: DataFrame, docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Pairs (a, b) within a bucket, of different components, that no star edge has tested and that may be links.
+
+    The members outside the centre's component meet all others in blocks of at most BLOCK by BLOCK, so a
+    bucket of any size is many bounded tasks; only pairs that pass exact bounds leave a block."""
     placed = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("band")
-    placed = materialise(placed.join(split, "band", "left_semi"))
-    home = placed.filter("id = a").select("band", F.col("component").alias("home"))
-    outside = placed.join(home, "band").filter("component <> home").select("band", F.col("id").alias("a2"), F.col("n").alias("n2"), F.col("component").alias("c2"))
-    pairs = outside.join(placed.filter("id <> a"), "band").filter((F.col("c2") != F.col("component")) & alike(F.col("n"), F.col("n2")))
-    return pairs.select(F.least("a2", "id").alias("a"), F.greatest("a2", "id").alias("b")).distinct()
+    split = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max(F.when(F.col("id") == F.col("a"), F.col("component"))).alias("home"), F.count("*").alias("m")).filter("least <> most").select("band", "home", "m")
+    placed = materialise(placed.join(split, "band").filter("id <> a"))
+    ids = materialise(placed.select("id").distinct())
+    side = docs.join(small_side(ids), docs["doc_id"] == ids["id"], "left_semi").mapInArrow(_profiles(width, bands, rows), "id long, cells binary, keys binary")
+    blocks = F.call_function("div", F.col("m") + BLOCK - 1, F.lit(BLOCK)).cast("int")
+    mine, all_ = F.pmod(F.xxhash64("id"), blocks).cast("int"), F.sequence(F.lit(0), blocks - 1)
+    keep = ["band", "id", "n", "component"]
+    left = placed.filter("component <> home").select(*keep, F.lit(True).alias("outside"), mine.alias("i"), F.explode(all_).alias("j"))
+    right = placed.select(*keep, F.lit(False).alias("outside"), mine.alias("j"), F.explode(all_).alias("i"))
+    both = left.unionByName(right).join(side, "id").select("band", "i", "j", "outside", "id", "n", "component", "cells", "keys")
+    both = both.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return both.mapInArrow(_survivors(percent), "a long, b long").distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
