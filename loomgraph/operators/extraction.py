@@ -91,17 +91,27 @@ def appears(name: Column, fragment: Column, toks: Column) -> Column:
     return (name != "") & (F.contains(fragment, name) | fuzzy)
 
 
+def bound(values: dict[str, Column], use) -> Column:
+    """use(struct of values), each value computed once: the optimizer can't copy it into every place that reads it."""
+    return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), use), F.lit(0))
+
+
 def entity_motive(name: Column, kind: Column, synonyms: Column, fragment: Column, tax: Taxonomy) -> Column:
     """Why an entity is refused (name already normalised, fragment folded), or null; the first reason in order."""
-    folded, toks = T.fold_key(name), F.split(fragment, " ")
-    seen = appears(folded, fragment, toks) | F.exists(F.coalesce(synonyms, F.array().cast("array<string>")), lambda s: appears(T.fold_key(s), fragment, toks))
-    return (
-        F.when(F.length(F.coalesce(name, F.lit(""))) < tax.min_name, "nombre_corto")
-        .when(F.length(name) > tax.max_name, "nombre_largo")
-        .when(~F.coalesce(kind, F.lit("")).isin(*tax.types), "tipo_entidad")
-        .when(folded.isin(*tax.class_names()), "nombre_de_tipo")
-        .when((fragment != "") & ~seen, "sin_evidencia")
-    )
+
+    def told(v: Column) -> Column:
+        seen = appears(v["folded"], v["fragment"], v["toks"]) | F.exists(v["synonyms"], lambda s: appears(s, v["fragment"], v["toks"]))
+        return (
+            F.when(F.length(F.coalesce(v["name"], F.lit(""))) < tax.min_name, "nombre_corto")
+            .when(F.length(v["name"]) > tax.max_name, "nombre_largo")
+            .when(~F.coalesce(v["kind"], F.lit("")).isin(*tax.types), "tipo_entidad")
+            .when(v["folded"].isin(*tax.class_names()), "nombre_de_tipo")
+            .when((v["fragment"] != "") & ~seen, "sin_evidencia")
+        )
+
+    keys = F.transform(F.coalesce(synonyms, F.array().cast("array<string>")), lambda s: T.fold_key(s))
+    first = {"name": name, "kind": kind, "synonyms": keys, "fragment": fragment}
+    return bound(first, lambda v: bound({**{k: v[k] for k in first}, "folded": T.fold_key(v["name"]), "toks": F.split(v["fragment"], " ")}, told))
 
 
 def validate_entities(raw: DataFrame, tax: Taxonomy) -> DataFrame:

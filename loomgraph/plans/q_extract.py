@@ -195,11 +195,11 @@ def _appears(n: str) -> str:
 
 _ENT = f"""
 WITH w AS (SELECT doc_id AS chunk_id, text, {_W} AS w, {_KEY('text[:2500]')} AS f FROM documents WHERE len({_W}) >= 12),
-r AS (SELECT chunk_id, f, string_split(f, ' ') AS t, unnest([0, 1, 2, 3, 4, 5, 6]) AS at, unnest([w[4], w[6] || 'xs', 'x', 'zzqq absent', w[5], 'Concepts', 'absent thing']) AS name,
+r AS (SELECT chunk_id, f, string_split(f, ' ') AS t, unnest([0, 1, 2, 3, 4, 5, 6]) AS "at", unnest([w[4], w[6] || 'xs', 'x', 'zzqq absent', w[5], 'Concepts', 'absent thing']) AS name,
   unnest(['concept', 'tool', 'concept', 'concept', 'unknown', 'concept', 'concept']) AS type, unnest([NULL, NULL, NULL, NULL, NULL, NULL, w[8]]) AS syn FROM w),
-n AS (SELECT chunk_id, at, f, t, {_NORM('name')} AS name, type, {_NORM('syn')} AS syn FROM r),
+n AS (SELECT chunk_id, "at", f, t, {_NORM('name')} AS name, type, {_NORM('syn')} AS syn FROM r),
 k AS (SELECT *, {_KEY('name')} AS k, CASE WHEN length(syn) >= 2 AND syn <> name THEN {_KEY('syn')} ELSE '' END AS sk FROM n),
-v AS (SELECT chunk_id, at::INTEGER AS at, name, type, CASE WHEN length(name) < 2 THEN 'nombre_corto' WHEN length(name) > 100 THEN 'nombre_largo' WHEN type NOT IN ('concept', 'tool') THEN 'tipo_entidad'
+v AS (SELECT chunk_id, "at"::INTEGER AS "at", name, type, CASE WHEN length(name) < 2 THEN 'nombre_corto' WHEN length(name) > 100 THEN 'nombre_largo' WHEN type NOT IN ('concept', 'tool') THEN 'tipo_entidad'
   WHEN k IN ('concept', 'concepts', 'tool', 'tools') THEN 'nombre_de_tipo' WHEN f <> '' AND NOT {_appears('k')} AND NOT {_appears('sk')} THEN 'sin_evidencia' END AS motive FROM k)
 """
 _MEN = f"{SQL_CHUNKS}, m AS (SELECT DISTINCT id AS chunk_id, source_id, unnest(regexp_extract_all(lower(text), '[a-z]{{2,}}(?:tion|heit|mente)')) AS name FROM chunks)"
