@@ -96,18 +96,19 @@ def excerpts(text: str, seed: int) -> list[str]:
     return out
 
 
-def fit_pair(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """A linear machine with squared hinge loss, by dual coordinate descent. y: +1 or -1."""
-    w, bias, alpha = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(len(y))
-    diag = (x * x).sum(axis=1) + 1 + 0.5 / COST
+def fit_pair(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[np.ndarray, float]:
+    """A linear machine with squared hinge loss, by dual coordinate descent. x: (buckets, values) of each row; y: +1 or -1."""
+    w, bias, alpha = np.zeros(BUCKETS, np.float32), 0.0, np.zeros(len(y))
+    diag = np.array([float(v @ v) for _, v in x]) + 1 + 0.5 / COST
     rng = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(y)):
-            grad = y[i] * (float(x[i] @ w) + bias) - 1 + alpha[i] * 0.5 / COST
+            at, v = x[i]
+            grad = y[i] * (float(w[at] @ v) + bias) - 1 + alpha[i] * 0.5 / COST
             new = max(alpha[i] - grad / diag[i], 0.0)
             if new != alpha[i]:
                 step = (new - alpha[i]) * y[i]
-                w += np.float32(step) * x[i]
+                w[at] += np.float32(step) * v
                 bias += step
                 alpha[i] = new
     return w, bias
@@ -116,14 +117,14 @@ def fit_pair(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 class OneVersusOne:
     """Votes of the machines of all pairs of classes; ties go to the larger sum of margins."""
 
-    def __init__(self, x: np.ndarray, labels: list[str]):
+    def __init__(self, x: list, labels: list[str]):
         self.classes = sorted(set(labels))
         of = np.array([self.classes.index(c) for c in labels])
         self.pairs = list(combinations(range(len(self.classes)), 2))
         fits = []
         for a, b in self.pairs:
             at = np.flatnonzero((of == a) | (of == b))
-            fits.append(fit_pair(x[at], np.where(of[at] == a, 1.0, -1.0)))
+            fits.append(fit_pair([x[i] for i in at], np.where(of[at] == a, 1.0, -1.0)))
         self.w = np.stack([w for w, _ in fits]) if fits else np.zeros((0, BUCKETS), np.float32)
         self.bias = np.array([b for _, b in fits])
 
@@ -140,10 +141,10 @@ class OneVersusOne:
 
 
 class LanguageModel:
-    def __init__(self, x: np.ndarray, langs: list[str]):
+    def __init__(self, x: list, langs: list[str]):
         kin = [family(c) for c in langs]
         self.families = OneVersusOne(x, kin) if langs else None
-        self.within = {f: OneVersusOne(x[[i for i, k in enumerate(kin) if k == f]], [c for c, k in zip(langs, kin, strict=True) if k == f]) for f in sorted(set(kin))}
+        self.within = {f: OneVersusOne([r for r, k in zip(x, kin, strict=True) if k == f], [c for c, k in zip(langs, kin, strict=True) if k == f]) for f in sorted(set(kin))}
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if text is None or self.families is None or not has_letter(text):
@@ -164,7 +165,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     known = known.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not counts:
-        return LanguageModel(np.zeros((0, BUCKETS), np.float32), [])
+        return LanguageModel([], [])
     spin = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 40))
     rates = F.create_map(*(F.lit(v) for k, c in counts.items() for v in (k, min(1 << 40, int((1 << 40) * (2 * sample + 50) / c)))))
     few = known.withColumn("spin", spin).filter(F.col("spin") <= F.try_element_at(rates, F.col("lang")))
@@ -187,9 +188,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
 
     rows = few.select("text", "lang", "spin").mapInArrow(features, "lang string, spin long, at binary, x binary").collect()
     rows.sort(key=lambda r: (r["lang"], r["spin"], bytes(r["at"]), bytes(r["x"])))
-    x = np.zeros((len(rows), BUCKETS), np.float32)
-    for i, r in enumerate(rows):
-        x[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["x"], np.float32)
+    x = [(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["x"], np.float32)) for r in rows]
     return LanguageModel(x, [r["lang"] for r in rows])
 
 
