@@ -31,7 +31,7 @@ def fn_slug(spark, d):
 
 
 def fn_entity_name(spark, d):
-    return read(spark, d, "documents").select("doc_id", T.entity_name(F.left("text", F.lit(80))).alias("name"), T.entity_name(F.left("text", F.lit(80)), accents=False).alias("plain"))
+    return read(spark, d, "documents").select("doc_id", T.entity_name(F.col("text")).alias("name"), T.entity_name(F.col("text"), accents=False).alias("plain"))
 
 
 def fn_unaccent_positional(spark, d):
@@ -44,7 +44,7 @@ def fn_legacy_norm(spark, d):
 
 
 def fn_query_terms(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.array_join(T.search_terms(F.left("text", F.lit(200))), " ").alias("terms"))
+    return read(spark, d, "documents").select("doc_id", F.array_join(T.search_terms(F.col("text")), " ").alias("terms"))
 
 
 def fn_line_key(spark, d):

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from loomgraph.plans import q_graph
+from loomgraph.plans import q_graph, q_text
 
 
 def test_dags_hold_every_user(spark, sf, tmp_path):
@@ -34,3 +34,15 @@ def test_dags_hold_every_user(spark, sf, tmp_path):
         if "click" in src.lower():
             clicks[user].add((src, dst))
     assert {r["dag"]: (r["steps"], r["first_src"]) for r in q_graph.dag_paths(spark, sf).collect()} == {u: (len(x), min(x)[0]) for u, x in clicks.items()}
+
+
+def _documents(spark, tmp_path, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_terms_and_names_of_whole_texts(spark, tmp_path):
+    d = _documents(spark, tmp_path, ["Wört  " * 100 + "+Último", "short (one)"])
+    assert {r["doc_id"]: r["terms"] for r in q_text.fn_query_terms(spark, d).collect()} == {0: "wort " * 100 + "ultimo", 1: "short one"}
+    names = {r["doc_id"]: (r["name"], r["plain"]) for r in q_text.fn_entity_name(spark, d).collect()}
+    assert names == {0: ("wört " * 100 + "+último", "wort " * 100 + "+ultimo"), 1: ("short (one)", "short (one)")}
