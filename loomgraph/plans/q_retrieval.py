@@ -111,8 +111,8 @@ def postings_index(spark, d):
 
 
 def _asked(spark, d):
-    t = F.lower(F.left("text", F.lit(40)))
-    return read(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat(t, F.lit(" vs ation"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("what is "), t, F.lit(" of the ation?"))).otherwise(F.lit("how heit")).alias("q"))
+    t = F.lower("text")
+    return read(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat(t, F.lit(" vs ation"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("what is "), t, F.lit(" of the ation?"))).otherwise(F.concat_ws(" ", F.lit("how heit"), t)).alias("q"))
 
 
 def query_expand(spark, d):

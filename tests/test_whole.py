@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from loomgraph.plans import q_graph, q_text
+from loomgraph.plans import q_graph, q_retrieval, q_text
 
 
 def test_dags_hold_every_user(spark, sf, tmp_path):
@@ -46,3 +46,15 @@ def test_terms_and_names_of_whole_texts(spark, tmp_path):
     assert {r["doc_id"]: r["terms"] for r in q_text.fn_query_terms(spark, d).collect()} == {0: "wort " * 100 + "ultimo", 1: "short one"}
     names = {r["doc_id"]: (r["name"], r["plain"]) for r in q_text.fn_entity_name(spark, d).collect()}
     assert names == {0: ("wört " * 100 + "+último", "wort " * 100 + "+ultimo"), 1: ("short (one)", "short (one)")}
+
+
+def test_queries_are_whole_texts(spark, tmp_path):
+    d = _documents(spark, tmp_path, [f"Filler {'word ' * 20}heit of the end"] * 3)
+    text = f"filler {'word ' * 20}heit of the end"
+    asked = {0: f"{text} vs ation", 1: f"what is {text} of the ation?", 2: f"how heit {text}"}
+    synonyms = {0: " keit tion ing von der", 1: " keit tion ing von der", 2: " keit keit von der"}
+    assert {r["doc_id"]: r["expanded"] for r in q_retrieval.query_expand(spark, d).collect()} == {k: q + synonyms[k] for k, q in asked.items()}
+    assert {r["doc_id"]: r["q"] for r in q_retrieval._asked(spark, d).collect()} == asked
+    parts = {r["doc_id"]: r["parts"] for r in q_retrieval.query_decompose(spark, d).collect()}
+    assert parts[0] == f"{asked[0]} | {text} features | ation features" and all(parts[k].startswith(f"{asked[k]} | ") for k in (1, 2))
+    assert q_retrieval.intent_classify(spark, d).count() == 3
