@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from loomgraph.plans import q_graph, q_retrieval, q_text
+from loomgraph.plans import q_extract, q_graph, q_retrieval, q_text
 
 
 def test_dags_hold_every_user(spark, sf, tmp_path):
@@ -58,3 +58,27 @@ def test_queries_are_whole_texts(spark, tmp_path):
     parts = {r["doc_id"]: r["parts"] for r in q_retrieval.query_decompose(spark, d).collect()}
     assert parts[0] == f"{asked[0]} | {text} features | ation features" and all(parts[k].startswith(f"{asked[k]} | ") for k in (1, 2))
     assert q_retrieval.intent_classify(spark, d).count() == 3
+
+
+def _chunks_of(rows):
+    return {(r["src"], r["dst"]): [int(p.split("/")[0]) for p in r["provenance"].split(",")] if r["provenance"] is not None else None for r in rows}
+
+
+def test_provenance_of_every_chunk(spark, sf):
+    docs = sorted((r["doc_id"], r["lang"], r["source"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "source").collect())
+    new, old, sources = defaultdict(list), defaultdict(list), defaultdict(set)
+    for k, lang, source in docs:
+        new[lang, f"d{k % 13}"].append(k)
+        old[lang, f"d{k % 17}"].append(k)
+        sources[lang, f"d{k % 13}"].add(source)
+    bare = {("fr", "d1"), ("fr", "d2")}
+    (census,) = q_extract.inherited_census(spark, sf).collect()
+    assert tuple(census) == (len(new), sum(s in ("en", "de") for s, _ in new), len(bare & set(new)))
+    closed = {(r["src"], r["dst"]) for r in q_extract.closed_inherited(spark, sf).collect()}
+    assert closed == {e for e in new if e[0] in ("en", "de") and "src11" not in sources[e]}
+    left = {e: [k for k in ks if k % 3 == 1] for e, ks in new.items() if e not in bare}
+    assert _chunks_of(q_extract.fragment_purge(spark, sf).collect()) == {e: ks for e, ks in left.items() if ks} | {e: None for e in bare & set(new)}
+    merged = q_extract.provenance_merge(spark, sf).collect()
+    was = {e: None if e in bare else ks for e, ks in old.items()}
+    assert _chunks_of(merged) == {e: [k for k in was.get(e) or [] if k not in new[e]] + new[e] if e in new else was[e] for e in {*new, *was}}
+    assert {(r["src"], r["dst"]): r["inherited"] for r in merged} == {e: e not in new and e[0] in ("en", "de") for e in {*new, *was}}
