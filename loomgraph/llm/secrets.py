@@ -1,9 +1,10 @@
 """Secret scans: three base patterns, and a token-efficiency test for random strings.
 
 A random string takes more tokens of a byte-pair vocabulary for its length than text does. Runs of 16 or
-more of `[A-Za-z0-9+/_=-]` that hold a digit and a letter are encoded with a tiktoken vocabulary; those with
+more of `[A-Za-z0-9+/_=-]` that hold a letter are encoded with a tiktoken vocabulary; those with
 under RATIO characters a token are reported as `random`, unless they are a known digest form (32, 40, 56, 64, 96 or 128
-hexadecimal digits), a UUID, a number, a path or an identifier made of words. Base spans always stay.
+hexadecimal digits), a UUID, a number, a path or an identifier made of words. If a run isn't reported, its segments between
+`/`, `=`, `_` and `-` are tested alike. Base spans always stay.
 
 Texts are read whole, one at a time. Defined results: a null or empty text has no spans (base_sha256 is
 that of the empty string); repeated rows give equal rows; an empty table gives an empty result; extra
@@ -28,8 +29,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
-_WORDS = re.compile(r"(?:[/_=+-]*(?:[A-Z]?[a-z]{3,}|[A-Z]{3,}|\d+))+[/_=+-]*\Z")
-_MIXED = re.compile(r"\d.*[A-Za-z]|[A-Za-z].*\d")
+_WORDS = re.compile(r"(?:[/_=+-]++|[A-Z]{3,}+|[A-Z]?[a-z]{3,}+|\d++)++\Z")
+_LETTER = re.compile(r"[A-Za-z]")
+SEGMENT = re.compile(rf"[A-Za-z0-9+]{{{LEAST},}}")
 KINDS = ("assign", "access", "hex")
 _encoders: dict[str, object] = {}
 
@@ -63,11 +65,15 @@ def known_form(run: str) -> bool:
 
 
 def random_spans(text: str, bpe, ratio: float = RATIO) -> list[tuple[int, int, str]]:
+    def is_random(run):
+        return _LETTER.search(run) and not known_form(run) and len(run) < ratio * len(bpe.encode_ordinary(run))
+
     out = []
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if _MIXED.search(run) and not known_form(run) and len(run) < ratio * len(bpe.encode_ordinary(run)):
+        if is_random(m[0]):
             out.append((m.start(), m.end(), "random"))
+        elif not known_form(m[0]):
+            out += [(s.start(), s.end(), "random") for s in SEGMENT.finditer(text, m.start(), m.end()) if s[0] != m[0] and is_random(s[0])]
     return out
 
 
