@@ -54,11 +54,15 @@ def validate_relations(spark, d):
 
 
 def evidence_spans(spark, d):
-    """Which documents hold a benchmark item's first six words, folded."""
-    b = read(spark, d, "benchmark").select("item_id", T.fold_key(F.array_join(F.slice(T.words(F.col("text")), 1, 6), " ")).alias("name"))
-    docs = read(spark, d, "documents").select("doc_id", F.split(T.fold_key(F.col("text")), " ").alias("t"))
-    grams = docs.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("t") - 5, F.lit(1))), lambda i: F.array_join(F.slice("t", i, 6), " "))).alias("name"))
-    return grams.join(F.broadcast(b.filter(F.size(F.split("name", " ")) == 6)), "name").select("doc_id", "item_id").distinct()
+    """Which documents hold any six folded words in a row of a benchmark item, or all words of a shorter one."""
+    key = T.fold_key(F.col("text"))
+    windows = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("t") - 5, F.lit(1))), lambda i: F.array_join(F.slice("t", i, 6), " ")))).alias("name")
+    b = read(spark, d, "benchmark").select("item_id", key.alias("key"), F.split(key, " ").alias("t")).filter("key <> ''")
+    docs = read(spark, d, "documents").select("doc_id", key.alias("key"), F.split(key, " ").alias("t"))
+    long = docs.select("doc_id", windows).join(F.broadcast(b.filter(F.size("t") >= 6).select("item_id", windows)), "name").select("doc_id", "item_id")
+    short = b.filter(F.size("t") < 6).select("item_id", F.concat(F.lit(" "), "key", F.lit(" ")).alias("name"))
+    held = docs.select("doc_id", F.concat(F.lit(" "), "key", F.lit(" ")).alias("text")).join(F.broadcast(short), F.contains("text", "name")).select("doc_id", "item_id")
+    return long.union(held).distinct()
 
 
 def _valid(spark, d):

@@ -100,3 +100,9 @@ def test_secrets_of_letters_and_behind_words():
     for plain in ("internationalization", "getUserAccountSettings", "com/users/account/settings/profile", "SOME_LONG_CONSTANT_NAME", "-" * 40, "1234567890123456789"):
         assert found(plain) == []
     assert not secrets.known_form("a" * 5000 + "Ab")
+
+
+def test_evidence_of_whole_items(spark, tmp_path):
+    d = _documents(spark, tmp_path, ["x " * 9 + "g h i Jé, k l y", "a b c d e f", "z one, two z", "one twofold", "b c d e f", ""])
+    spark.createDataFrame([(1, "a b c d e f g h i je k l"), (2, "One two"), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(tuple(r) for r in q_extract.evidence_spans(spark, d).collect()) == [(0, 1), (1, 1), (2, 2)]
