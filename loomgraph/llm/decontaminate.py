@@ -24,14 +24,15 @@ from pyspark.sql import functions as F
 from loomgraph.llm.common import fresh, materialise, small_side
 
 WIDTH, PERCENT = 5, 80
-NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
+#: Loops over groups are possessive: Java runs those without recursion, so a run of any length is safe.
+NUMBER = r"[0-9]++(?:[.,][0-9]++)*+"
 UNITS = (
     "kg|km|cm|mm|mg|ml|lb|lbs|oz|mph|kmh|kwh|hz|ghz|gb|mb|kb|tb|usd|eur|"
     "grams?|kilograms?|meters?|metres?|miles?|feet|foot|inch|inches|yards?|liters?|litres?|gallons?|"
     "seconds?|minutes?|hours?|days?|weeks?|months?|years?|dollars?|cents?|euros?|pounds?|percent|degrees?"
 )
 UNIT = rf"(zqnum +)(?:{UNITS})([^a-zA-Z0-9]|$)"
-NAME = r" (?<=[^.!?:\n ] ) *((?:\p{Lu}\p{Ll}+ +)*\p{Lu}\p{Ll}+)"
+NAME = r" (?<=[^.!?:\n ] ) *(\p{Lu}\p{Ll}++(?: ++\p{Lu}\p{Ll}++)*+)"
 SPLIT = r"[^\p{L}\p{N}]+"
 
 

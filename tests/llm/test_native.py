@@ -101,3 +101,10 @@ def test_a_conversation_over_several_blocks(spark):
     out = chat.chat_documents(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("segment").collect()
     assert [(r["conv_id"], r["segment"], r["n_turns"]) for r in out] == [(1, 0, 2500), (1, 1, 2500), (1, 2, 2500)]
     assert "".join(r["text"] for r in out) == "".join(f"<|user|>\nt{t}<|end|>\n" for t in range(2500))
+
+
+def test_runs_of_any_length_are_canonicalised(spark):
+    """Sixty thousand capitalised words and a number of sixty thousand parts: no recursion by length."""
+    long = "see " + "Maria " * 60_000 + "and " + "1" + ".1" * 60_000 + " apples"
+    got = spark.createDataFrame([(1, long)], "doc_id long, text string").select(decontaminate.canonical(F.col("text")).alias("t")).first()["t"]
+    assert got == ["see", "zqname", "and", "zqnum", "apples"]
