@@ -7,8 +7,9 @@ tokens of the benchmark and of the documents meet in a hash join. A document lea
 consistent: an item's value stands for one value of the document and the other way round. So an item
 with other numbers or names in it is caught, and one with its values jumbled isn't.
 
-Two phases. The first joins windows only, over all documents; nothing is exchanged but the few hits.
-The second looks at slots, in the documents that the first has found.
+Three phases. The first looks up, over all documents, windows that few templates have, enough of them
+that no leak can lack all; nothing is exchanged but the hits. The second counts all windows of those
+templates in those documents. The third looks at slots, in what the second has found.
 
 Defined results: a null or empty text has no tokens and leaks nothing, a null or empty item is never
 leaked. A text of fewer than five tokens is one window, its whole sequence. Repeated rows give one row
@@ -18,7 +19,7 @@ by `drop_leaks` and ignored by `leaks`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import fresh, materialise, small_side
@@ -71,40 +72,62 @@ def _slots(df: DataFrame, text: str, tokens: str, keep: list[str], at: str, valu
 
 
 def _row_key(docs: DataFrame) -> Column:
-    return F.xxhash64("doc_id", "text")
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))))
+
+
+def _rarest(grams: DataFrame, size: DataFrame, percent: int) -> DataFrame:
+    """t_key, hash: of each template the windows that few templates have, as many as cannot all be missing.
+
+    A text that holds percent of a template's n windows lacks n - ceil(percent * n) at most, so it holds
+    one of any n - ceil(percent * n) + 1 of them. A window that all templates share is looked up only for
+    templates that have no rarer ones."""
+    common = grams.groupBy("hash").agg(F.count_distinct("t_key").alias("n_templates"))
+    order = Window.partitionBy("t_key").orderBy("n_templates", "hash", "qpos")
+    ranked = grams.join(common, "hash").join(size, "t_key").withColumn("at", F.row_number().over(order))
+    least = F.ceil(F.col("n_windows") * percent / 100)
+    return ranked.filter(F.col("at") <= F.col("n_windows") - least + 1).select("t_key", "hash").distinct()
 
 
 def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """row_key, doc_id, item_id, n_windows, n_matched, n_slots of each leak in docs (doc_id, text)."""
+    """row_key, doc_id, item_id, n_windows, n_matched, n_slots of each leak in docs (doc_id, text).
+
+    Items with the same tokens are one template until their slots are looked at, so what is joined to
+    documents grows with templates, not with items."""
     docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("row_key", _row_key(docs))
     items = items.select("item_id", F.col("text").cast("string").alias("text")).filter("item_id is not null").distinct()
-    items = items.withColumn("item_key", F.xxhash64("item_id", "text"))
-    known = items.withColumn("tokens", canonical(F.col("text")))
-    grams = materialise(_windows(known, "tokens", ["item_key"]).select("item_key", F.col("pos").alias("qpos"), "hash"))
-    size = grams.groupBy("item_key").agg(F.count("*").alias("n_windows"))
-    first = _windows(docs.select("doc_id", "row_key", canonical(F.col("text")).alias("tokens")), "tokens", ["doc_id", "row_key"])
-    hits = first.join(small_side(grams), "hash").groupBy("doc_id", "row_key", "item_key").agg(F.count_distinct("qpos").alias("m"))
-    found = hits.join(size, "item_key").filter(100 * F.col("m") >= percent * F.col("n_windows"))
-    found = materialise(found.select("doc_id", "row_key", "item_key", "n_windows"))
-    # slots of what was found
-    few = materialise(found.select("row_key").distinct())
+    items = items.withColumn("item_key", F.md5(F.concat_ws(":", F.col("item_id").cast("string"), F.coalesce("text", F.lit("")))))
+    known = items.withColumn("tokens", canonical(F.col("text"))).withColumn("t_key", F.md5(F.array_join("tokens", " ")))
+    known = materialise(known)
+    templates = known.dropDuplicates(["t_key"])
+    grams = materialise(_windows(templates, "tokens", ["t_key"]).select("t_key", F.col("pos").alias("qpos"), "hash"))
+    size = materialise(grams.groupBy("t_key").agg(F.count("*").alias("n_windows")))
+    rare = materialise(_rarest(grams, size, percent))
+    # rows that hold a rare window of a template
+    first = _windows(docs.select("row_key", canonical(F.col("text")).alias("tokens")), "tokens", ["row_key"])
+    maybe = materialise(first.join(small_side(rare), "hash").select("row_key", "t_key").distinct())
+    # all windows of the template in those rows
+    few = materialise(maybe.select("row_key").distinct())
     some = docs.join(small_side(few), "row_key", "left_semi").dropDuplicates(["row_key"]).withColumn("tokens", canonical(F.col("text")))
     some = materialise(some)
-    again = _windows(some, "tokens", ["row_key"]).select("row_key", F.col("pos").alias("dpos"), "hash")
-    again = again.join(small_side(grams), "hash").join(found.select("row_key", "item_key"), ["row_key", "item_key"])
-    again = materialise(again.select("row_key", "item_key", "dpos", "qpos", (F.col("dpos") - F.col("qpos")).alias("shift")))
-    places = again.select("row_key", "item_key", "shift", F.explode(F.sequence(F.lit(0), F.lit(WIDTH - 1))).alias("j"), "qpos").select("row_key", "item_key", "shift", (F.col("qpos") + F.col("j")).alias("iat")).distinct()
+    sought = maybe.join(small_side(grams), "t_key")
+    again = _windows(some, "tokens", ["row_key"]).select("row_key", F.col("pos").alias("dpos"), "hash").join(sought, ["row_key", "hash"])
+    again = materialise(again.select("row_key", "t_key", "dpos", "qpos", (F.col("dpos") - F.col("qpos")).alias("shift")))
+    hits = again.groupBy("row_key", "t_key").agg(F.count_distinct("qpos").alias("m")).join(small_side(size), "t_key")
+    found = materialise(hits.filter(100 * F.col("m") >= percent * F.col("n_windows")).select("row_key", "t_key", "n_windows"))
+    again = again.join(small_side(found.select("row_key", "t_key")), ["row_key", "t_key"], "left_semi")
+    # slots of what was found, item by item
+    places = again.select("row_key", "t_key", "shift", F.explode(F.sequence(F.lit(0), F.lit(WIDTH - 1))).alias("j"), "qpos").select("row_key", "t_key", "shift", (F.col("qpos") + F.col("j")).alias("iat")).distinct()
     mine = _slots(some, "text", "tokens", ["row_key"], "dat", "dvalue")
-    theirs = _slots(known, "text", "tokens", ["item_key"], "iat", "ivalue")
-    pairs = places.join(theirs, ["item_key", "iat"]).withColumn("dat", F.col("iat") + F.col("shift")).join(mine, ["row_key", "dat", "kind"])
+    theirs = _slots(known, "text", "tokens", ["t_key", "item_key"], "iat", "ivalue")
+    pairs = places.join(theirs, ["t_key", "iat"]).withColumn("dat", F.col("iat") + F.col("shift")).join(mine, ["row_key", "dat", "kind"])
     by = ["row_key", "item_key", "shift"]
     slots = pairs.groupBy(*by).agg(F.count_distinct("kind", "ivalue", "dvalue").alias("n_slots"), F.count_distinct("kind", "ivalue").alias("iv"), F.count_distinct("kind", "dvalue").alias("dv"))
     slots = slots.withColumn("bad", (F.col("n_slots") != F.col("iv")) | (F.col("n_slots") != F.col("dv")))
-    sound = again.join(slots.select(*by, "n_slots", "bad"), by, "left").filter("bad is null or not bad")
-    sound = sound.groupBy("row_key", "item_key").agg(F.count_distinct("qpos").alias("n_matched"), F.coalesce(F.max("n_slots"), F.lit(0)).cast("long").alias("n_slots"))
-    out = found.join(sound, ["row_key", "item_key"]).filter(100 * F.col("n_matched") >= percent * F.col("n_windows"))
-    out = out.join(known.select("item_key", "item_id"), "item_key")
+    sound = again.join(small_side(known.select("t_key", "item_key", "item_id")), "t_key").join(slots.select(*by, "n_slots", "bad"), by, "left").filter("bad is null or not bad")
+    sound = sound.groupBy("row_key", "t_key", "item_key", "item_id").agg(F.count_distinct("qpos").alias("n_matched"), F.coalesce(F.max("n_slots"), F.lit(0)).cast("long").alias("n_slots"))
+    out = sound.join(small_side(found), ["row_key", "t_key"]).filter(100 * F.col("n_matched") >= percent * F.col("n_windows"))
+    out = out.join(some.select("row_key", "doc_id"), "row_key")
     return out.groupBy("row_key", "doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("n_matched").alias("n_matched"), F.max("n_slots").alias("n_slots"))
 
 
