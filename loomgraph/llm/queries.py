@@ -49,7 +49,8 @@ def op9_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogate_digest(_read(spark, sf_dir, "documents"))
+    key = spark.conf.get("spark.loomgraph.pii.key", "a key for tests; set spark.loomgraph.pii.key to a secret")
+    return pii.surrogate_digest(_read(spark, sf_dir, "documents"), key.encode())
 
 
 def queries() -> dict:
