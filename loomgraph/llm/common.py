@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,12 @@ BROADCAST_ROWS = 1_000_000
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); one of our own only where it is unset."""
+    """The shared folder of the cluster (spark.checkpoint.dir). Where it is unset, a temporary one on a local
+    master, whose executors are this process; an error on a cluster, whose executors couldn't read it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="loomgraph-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/loomgraph-{spark.sparkContext.applicationId}"
@@ -27,7 +31,28 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+_written: dict[int, tuple] = {}
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a materialised df that nothing reads any more."""
+    ref, path = _written.pop(id(df), (None, None))
+    if ref is not None and ref() is df:
+        spark = df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables that this application has materialised; call it when its results are written."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _written.clear()
 
 
 def fits(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:

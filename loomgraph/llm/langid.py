@@ -3,9 +3,12 @@ vector machines between the related languages within it.
 
 Texts are lower-cased, everything but letters in the ASCII range becomes a space, and the 1- to 3-byte
 grams of the whole UTF-8 text are counted in hashed buckets; the count vector has unit length. Machines
-are trained on the driver from at most SAMPLE documents of each language (the lowest hashes of doc_id,
+are trained from at most SAMPLE documents of each language (the lowest hashes of doc_id,
 so a rerun picks the same), each also seen as two short excerpts, so that short texts are learned too.
-Predictions read the text alone, on the executors, in pieces, with memory bounded by PIECE.
+Every language with a labelled document is learned. A language that FAMILIES doesn't list belongs to the
+family of the script that most of its sample is written in. One machine is fitted for each pair of
+families and of languages within one, on the executors if there are more than a few; more than MACHINES
+of them (32 KB each, broadcast) are refused with an error. Predictions read the text alone, on the executors, in pieces, with memory bounded by PIECE.
 
 Defined results: null text, or text without a letter: `und`, score 0. Without a labelled document
 everything is `und`. A null doc_id is not held out and not learned from. Repeated rows are predicted
@@ -14,20 +17,24 @@ alike; an empty table gives an empty result; extra columns stay where the operat
 
 from __future__ import annotations
 
+import unicodedata
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomgraph.llm.common import fresh
+from loomgraph.llm.common import fresh, materialise, small_side
 
 
 #: Documents of a language that the machines are trained on, at most.
 SAMPLE = 300
-#: Languages learned, at most; the most frequent ones.
-LANGUAGES = 256
+#: Machines that are broadcast, at most: 256 MB. Beyond it training fails and says so; nothing is left out.
+MACHINES = 8192
+#: Machines that the driver fits itself.
+HERE = 24
 BUCKETS = 1 << 13
 PIECE = 1 << 19
 COST, EPOCHS = 10.0, 20
@@ -49,10 +56,16 @@ _FAMILY = {code: name for name, codes in FAMILIES.items() for code in codes.spli
 _CLEAN = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
-def family(lang: str) -> str:
-    """The family of a language tag; an unknown one is a family of its own."""
+def family(lang: str, script: str = "") -> str:
+    """The family of a language tag; of an unlisted one, that of its script."""
     code = lang.strip().lower().replace("_", "-").split("-")[0]
-    return _FAMILY.get(code, f"other:{lang}")
+    return _FAMILY.get(code, f"script:{script}")
+
+
+def script_of(text: str) -> str:
+    """The script of most of the first letters of each word: the first word of their Unicode names."""
+    names = Counter(unicodedata.name(w[0], "").split(" ")[0] for w in text.split() if w[0].isalpha())
+    return max(sorted(names), key=names.get, default="")
 
 
 def gram_counts(text: str) -> np.ndarray:
@@ -117,16 +130,19 @@ def fit_pair(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[np.
 class OneVersusOne:
     """Votes of the machines of all pairs of classes; ties go to the larger sum of margins."""
 
-    def __init__(self, x: list, labels: list[str]):
-        self.classes = sorted(set(labels))
-        of = np.array([self.classes.index(c) for c in labels])
+    def __init__(self, labels: list[str], only: list[int]):
+        """only: the rows of the sample that these classes are told apart on; labels of all rows."""
+        self.classes = sorted({labels[i] for i in only})
         self.pairs = list(combinations(range(len(self.classes)), 2))
-        fits = []
-        for a, b in self.pairs:
-            at = np.flatnonzero((of == a) | (of == b))
-            fits.append(fit_pair([x[i] for i in at], np.where(of[at] == a, 1.0, -1.0)))
+        rows: dict[str, list[int]] = {c: [] for c in self.classes}
+        for i in only:
+            rows[labels[i]].append(i)
+        self.jobs = [(rows[self.classes[a]], rows[self.classes[b]]) for a, b in self.pairs]
+
+    def hold(self, fits: list[tuple[np.ndarray, float]]) -> None:
         self.w = np.stack([w for w, _ in fits]) if fits else np.zeros((0, BUCKETS), np.float32)
         self.bias = np.array([b for _, b in fits])
+        del self.jobs
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         margins = self.w @ x + self.bias
@@ -140,11 +156,48 @@ class OneVersusOne:
         return self.classes[best], float(1 / (1 + np.exp(-4 * min(own)))) if own else 1.0
 
 
+def fit_job(x: list, job: tuple[list[int], list[int]]) -> tuple[np.ndarray, float]:
+    at = sorted(job[0] + job[1])
+    first = set(job[0])
+    return fit_pair([x[i] for i in at], np.array([1.0 if i in first else -1.0 for i in at]))
+
+
+def fit_all(spark: SparkSession | None, x: list, jobs: list) -> list[tuple[np.ndarray, float]]:
+    """The machine of each job, in order; many of them are fitted by tasks that read the sample from a broadcast."""
+    if spark is None or len(jobs) <= HERE:
+        return [fit_job(x, j) for j in jobs]
+    held = spark.sparkContext.broadcast((x, jobs))
+
+    def run(batches):
+        import pyarrow as pa
+
+        sample, todo = held.value
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                w, bias = fit_job(sample, todo[k])
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([w.tobytes()]), pa.array([float(bias)])], names=["k", "w", "bias"])
+
+    rows = spark.range(0, len(jobs), 1, len(jobs)).mapInArrow(run, "k long, w binary, bias double").collect()
+    held.unpersist()
+    return [(np.frombuffer(r["w"], np.float32), r["bias"]) for r in sorted(rows, key=lambda r: r["k"])]
+
+
 class LanguageModel:
-    def __init__(self, x: list, langs: list[str]):
-        kin = [family(c) for c in langs]
-        self.families = OneVersusOne(x, kin) if langs else None
-        self.within = {f: OneVersusOne([r for r, k in zip(x, kin, strict=True) if k == f], [c for c, k in zip(langs, kin, strict=True) if k == f]) for f in sorted(set(kin))}
+    def __init__(self, x: list, langs: list[str], scripts: list[str] | None = None, spark: SparkSession | None = None, machines: int = MACHINES):
+        seen: dict[str, Counter] = {}
+        for lang, script in zip(langs, scripts or [""] * len(langs), strict=True):
+            seen.setdefault(lang, Counter())[script] += 1
+        main = {lang: max(sorted(c), key=c.get) for lang, c in seen.items()}
+        kin = [family(c, main[c]) for c in langs]
+        self.families = OneVersusOne(kin, list(range(len(kin)))) if langs else None
+        self.within = {f: OneVersusOne(langs, [i for i, k in enumerate(kin) if k == f]) for f in sorted(set(kin))}
+        every = [m for m in (self.families, *self.within.values()) if m]
+        jobs = [j for m in every for j in m.jobs]
+        if len(jobs) > machines:
+            raise ValueError(f"{len(seen)} languages need {len(jobs)} machines, more than {machines}")
+        fits = iter(fit_all(spark, x, jobs))
+        for m in every:
+            m.hold([next(fits) for _ in m.jobs])
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if text is None or self.families is None or not has_letter(text):
@@ -163,12 +216,9 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """Learn from docs (doc_id, text, lang): those with a lang and a doc_id that aren't held out."""
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return LanguageModel([], [])
+    per = materialise(known.groupBy(F.col("lang").alias("_lang")).agg(F.least(F.lit(1 << 40), (F.lit(float((1 << 40) * (2 * sample + 50))) / F.count("*")).cast("long")).alias("_most")))
     spin = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 40))
-    rates = F.create_map(*(F.lit(v) for k, c in counts.items() for v in (k, min(1 << 40, int((1 << 40) * (2 * sample + 50) / c)))))
-    few = known.withColumn("spin", spin).filter(F.col("spin") <= F.try_element_at(rates, F.col("lang")))
+    few = known.withColumn("spin", spin).join(small_side(per), F.col("lang") == F.col("_lang")).filter("spin <= _most")
     few = few.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("spin", "doc_id", F.xxhash64("text")))).filter(F.col("at") <= sample)
 
     def features(batches):
@@ -182,14 +232,14 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
                 xs = [vector(t) for t in excerpts(text, spin.as_py()) if has_letter(t)]
                 at = [np.flatnonzero(x) for x in xs]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang.as_py()] * len(xs)), pa.array([spin.as_py()] * len(xs)), pa.array([a.astype(np.uint16).tobytes() for a in at]), pa.array([x[a].tobytes() for x, a in zip(xs, at, strict=True)])],
-                    names=["lang", "spin", "at", "x"],
+                    [pa.array([lang.as_py()] * len(xs)), pa.array([script_of(text)] * len(xs)), pa.array([spin.as_py()] * len(xs)), pa.array([a.astype(np.uint16).tobytes() for a in at]), pa.array([x[a].tobytes() for x, a in zip(xs, at, strict=True)])],
+                    names=["lang", "script", "spin", "at", "x"],
                 )
 
-    rows = few.select("text", "lang", "spin").mapInArrow(features, "lang string, spin long, at binary, x binary").collect()
+    rows = few.select("text", "lang", "spin").mapInArrow(features, "lang string, script string, spin long, at binary, x binary").collect()
     rows.sort(key=lambda r: (r["lang"], r["spin"], bytes(r["at"]), bytes(r["x"])))
     x = [(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["x"], np.float32)) for r in rows]
-    return LanguageModel(x, [r["lang"] for r in rows])
+    return LanguageModel(x, [r["lang"] for r in rows], [r["script"] for r in rows], docs.sparkSession)
 
 
 def _predictor(model, text_at: int, rejects: bool, names: list[str]):

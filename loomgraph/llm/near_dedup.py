@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import fresh, letters_of, materialise, row_slices, small_side
+from loomgraph.llm.common import forget, fresh, letters_of, materialise, row_slices, small_side
 from loomgraph.llm.shingles import mix, shingle_hashes, word_hashes
 
 BANDS, ROWS = 32, 5
@@ -113,7 +113,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, F.col("a") == F.col("k")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
         small = large.join(least, F.col("a") == F.col("k")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = materialise(small.union(least.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct())
+        was, e = e, materialise(small.union(least.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct())
+        forget(was)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == mark:
             return e.select(F.col("a").alias("id"), F.col("b").alias("component")).union(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
