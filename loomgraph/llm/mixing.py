@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm.common import fresh, materialise, small_side
 
-CAP, SEED = 3, "loom-mix"
+CAP, SEED, WEIGHTS = 3, "loom-mix", (1, 2, 3)
 _SPACES = "\t\n\x0b\x0c\r"
 
 
@@ -34,11 +34,11 @@ def draw(doc_id: Column, text: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), who)), 1, 12), 16, 10).cast("long") / float(16**12)
 
 
-def source_targets(sizes: DataFrame) -> DataFrame:
-    """source, source_size, target, rate of each source of sizes (source, size)."""
+def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """source, source_size, target, rate of each source of sizes (source, size); weights repeat over the sources in order."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     every = Window.orderBy(F.col("source").asc_nulls_last())
-    w = per.withColumn("weight", (F.row_number().over(every) - 1) % 3 + 1)
+    w = per.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(every) - 1) % len(weights) + 1))
     order = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
     upto, whole = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     w = w.withColumn("total", F.sum("source_size").over(whole))
@@ -59,26 +59,26 @@ def _copies(rate: Column, doc_id: Column, text: Column) -> Column:
     return (whole + F.when(draw(doc_id, text, SEED) < rate - whole, 1).otherwise(0)).cast("long")
 
 
-def _rated(docs: DataFrame, size: str) -> tuple[DataFrame, str]:
+def _rated(docs: DataFrame, size: str, weights: tuple[int, ...]) -> tuple[DataFrame, str]:
     src, rate = fresh(docs, "mix_source", "mix_rate")
-    targets = materialise(source_targets(docs.select("source", F.col(size).alias("size"))))
+    targets = materialise(source_targets(docs.select("source", F.col(size).alias("size")), weights))
     side = targets.select(F.col("source").alias(src), "source_size", "target", F.col("rate").alias(rate))
     return docs.join(small_side(side), docs["source"].eqNullSafe(F.col(src)), "left").drop(src), rate
 
 
-def mix_digest(docs: DataFrame) -> DataFrame:
+def mix_digest(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """doc_id, size, source_size, target, taken (and source, copies) of every row of docs (doc_id, text, source)."""
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.when(F.col("doc_id").isNull(), F.col("text")).alias("text"))
     rows = materialise(rows)
-    out, rate = _rated(rows, "size")
+    out, rate = _rated(rows, "size", weights)
     copies = _copies(F.col(rate), F.col("doc_id"), F.col("text"))
     return out.withColumn("copies", copies).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Every row of docs as often as the mix takes it; the columns of docs."""
     size, n, i = fresh(docs, "mix_size", "mix_copies", "mix_i")
-    targets = materialise(source_targets(docs.select("source", word_count(F.col("text")).alias("size"))))
+    targets = materialise(source_targets(docs.select("source", word_count(F.col("text")).alias("size")), weights))
     src, rate = fresh(docs, "mix_source", "mix_rate")
     side = targets.select(F.col("source").alias(src), F.col("rate").alias(rate))
     out = docs.join(small_side(side), docs["source"].eqNullSafe(F.col(src)), "left")

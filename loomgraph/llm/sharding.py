@@ -118,11 +118,12 @@ def shard_digest(docs: DataFrame, shards: int = 8) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     """docs with shard and slot added (shard_ and slot_ where those names are taken), all columns kept.
 
-    One exchange moves the rows; the counts by bucket come from doc_id alone. Rows are ranked in their
-    bucket by doc_id, then by a hash of all columns; rows that are equal in all are interchangeable."""
+    One exchange moves the rows; the bucket comes from doc_id and a hash of all columns, so rows that share
+    a doc_id spread. Rows are ranked in their bucket by doc_id, then by that hash; rows that are equal in all
+    are interchangeable, and stay in one bucket."""
     shard, slot, buc, at, start, num, p = fresh(docs, "shard", "slot", "bucket", "at", "start", "number", "p")
     n = docs.count()
-    label = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null"), F.xxhash64("text").cast("string")))
+    label = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.xxhash64(*docs.columns).cast("string"))
     placed = docs.withColumn(buc, _bucket(label, n))
     sums = placed.groupBy(buc).agg(F.count("*").alias("_all")).select(F.col(buc).alias(start + "_b"), (F.sum("_all").over(Window.orderBy(buc)) - F.col("_all")).alias(start))
     ranked = placed.withColumn(at, F.row_number().over(Window.partitionBy(buc).orderBy("doc_id", F.xxhash64(*docs.columns))))
