@@ -149,7 +149,7 @@ n AS (SELECT *, CASE WHEN trim(line) <> '' THEN row_number() OVER (PARTITION BY
   CASE WHEN trim(line) <> '' THEN row_number() OVER (PARTITION BY doc_id, trim(line) <> '' ORDER BY i DESC) END AS down,
   lag(CASE WHEN trim(line) <> '' THEN trim(line) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS prev FROM l),
 z AS (SELECT *, CASE WHEN up <= 2 THEN 'top' WHEN down <= 2 THEN 'bottom' END AS zone,
-  regexp_matches(line, '^\\s*\\d{1,4}\\s*$') AND NOT coalesce(regexp_matches(prev, '^(?i:cap[ií]tulo|chapter|section|part)$'), false) AS folio FROM n),
+  regexp_matches(line, '^\\s*\\d{1,4}\\s*$') AND NOT coalesce(regexp_matches(prev, '^[^\\p{L}\\p{N}_]*(?i:cap[ií]tulo|secci[oó]n|parte|chapter|section|part)[^\\p{L}\\p{N}_]*$'), false) AS folio FROM n),
 g AS (SELECT *, CASE WHEN folio AND zone = 'top' THEN row_number() OVER (PARTITION BY doc_id, zone, folio ORDER BY i)
   WHEN folio AND zone = 'bottom' THEN row_number() OVER (PARTITION BY doc_id, zone, folio ORDER BY i DESC) END AS hit FROM z)
 """
@@ -186,7 +186,7 @@ def _sql_type(t: str, page: str = "NULL", pages: str = "NULL") -> str:
     entries = f"list_concat(regexp_extract_all({t}, '{q(T.TERM_AND_PAGE)}'), regexp_extract_all({t}, '{q(T.OUTLINE_ENTRY)}'))"
     w = WORDS.format(t)
     n = f"greatest(len({w}), 1)"
-    cue = f"(regexp_matches({t}, '{q(T.INDEX_CUE)}') OR coalesce({page} > 0 AND {pages} > 0 AND ({page} <= 30 OR {page} >= {pages} * 0.95), false))"
+    cue = f"(regexp_matches({t}, '{q(T.INDEX_CUE.replace('(?iu)', '(?i)'))}') OR coalesce({page} > 0 AND {pages} > 0 AND ({page} <= 30 OR {page} >= {pages} * 0.95), false))"
     least = f"CASE WHEN {cue} THEN 8 ELSE 12 END"
     index = f"""(len({entries}) >= {least} AND len({entries}) / {n} * 280 >= {least} AND length(array_to_string({entries}, '')) / greatest(length({t}), 1) >= 0.35
       AND len(list_filter({w}, lambda x: regexp_matches(x, '^{T.PAGE_REF}[.,;:]?$'))) / {n} >= 0.20

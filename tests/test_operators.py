@@ -23,7 +23,7 @@ def test_chunks_overlap_and_stay_in_bounds():
     words = [f"w{i}" + ("." if i % 9 == 8 else "") for i in range(2400)]
     got = chunking.cut(words)
     assert got
-    texts = [words[c["start"] : c["end"]] for c in got]
+    texts = [words[c.start : c.end] for c in got]
     assert all(150 <= len(t) <= 380 for t in texts[:-1])
     for a, b in zip(texts, texts[1:], strict=False):
         assert b[:60] == a[-60:]
