@@ -221,3 +221,111 @@ def skip_loaded(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     a = incoming.groupBy("source_id").agg(F.count("*").alias("incoming"))
     b = existing.groupBy("source_id").agg(F.count("*").alias("existing"))
     return a.join(b, "source_id", "left").filter(F.coalesce("existing", F.lit(0)) < F.col("incoming")).select("source_id", "incoming", F.coalesce("existing", F.lit(0)).alias("existing"))
+
+
+# --- one source --------------------------------------------------------------------------------
+
+INGESTED_BY = ("cli", "api", "consola", "legacy")
+
+
+def source_records(cat: DataFrame, sources: DataFrame) -> DataFrame:
+    """The catalogue's rows as records: pages fall back to the last page, the title to the id, the update to the load
+    and then to now; an unlisted loader is null, and what is never measured is null rather than 0."""
+    kept = ("author", "edition", "pages", "ingested_at", "ingested_by", "updated_at", "title")
+    lacking = lambda c: F.col(c) if c in sources.columns else F.lit(None).cast("string")
+    s = sources.select("id", *(lacking(c).cast("string").alias(f"_{c}") for c in kept))
+    x = cat.join(s, "id", "left")
+    detail = (
+        F.when(F.col("status") == "fallido", "The source has no chunks: it was never loaded, or a later load left none of them.")
+        .when(F.col("status") == "parcial", F.format_string("%d of %d chunks have no embedding yet.", F.col("units") - F.col("embedded"), F.col("units")))
+        .when(~F.col("registered"), "Chunks name the source, but it isn't registered.")
+    )
+    pages = F.coalesce(F.col("_pages").cast("int"), F.col("pages"))
+    return x.select(
+        "id", "kind", F.coalesce("_title", "id").alias("title"), F.col("_author").alias("author"), F.col("_edition").alias("edition"), pages.alias("pages"),
+        "units", "embedded", F.lit(None).cast("long").alias("entities"), "status", detail.alias("status_detail"),
+        F.when(F.col("_ingested_by").isin(*INGESTED_BY), F.col("_ingested_by")).alias("ingested_by"), F.col("_ingested_at").alias("created_at"),
+        F.coalesce("_updated_at", "_ingested_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("updated_at"),
+    )
+
+
+def source(records: DataFrame, ident: str) -> DataFrame:
+    """The record of one source; an error if there is none."""
+    found = records.filter(F.col("id") == ident)
+    if not found.head(1):
+        raise LookupError(f"no source {ident}")
+    return found
+
+
+def descriptor(spark, profile: dict, capabilities: dict[str, bool]) -> DataFrame:
+    """part, id, label, detail: what an instance publishes of its profile and of what it can do."""
+    rows = [("profile", f"{profile['profile']}@{profile['version']}", profile["profile"], str(profile["version"]))]
+    rows += [("entity_type", e["id"], e["label"], e.get("desc", "")) for e in profile.get("entities", [])]
+    rows += [("relation_type", r["id"], r["id"], "") for r in profile.get("relations", [])]
+    rows += [("capability", k, k, "on" if v else "off") for k, v in capabilities.items()]
+    return spark.createDataFrame(rows, "part string, id string, label string, detail string")
+
+
+def load_source(existing: DataFrame, incoming: DataFrame, source_id: str) -> DataFrame:
+    """upsert of one source, refused before anything is written if the batch is empty or holds another source."""
+    check_batch(incoming, source_id)
+    return upsert(existing, incoming)
+
+
+def merge_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The table after rows were loaded by id: an embedding stays only if its text did; nothing else goes."""
+    old = existing.select("id", F.col("text").alias("_text"), F.col("embedding").alias("_embedding"))
+    new = incoming.join(old, "id", "left").withColumn("embedding", F.when(F.col("text").eqNullSafe(F.col("_text")), F.col("_embedding")))
+    return existing.join(incoming.select("id"), "id", "left_anti").unionByName(new.select(*existing.columns))
+
+
+def delete_census(chunks: DataFrame, parents: DataFrame, mentions: DataFrame, parent_edges: DataFrame, source_id: str) -> DataFrame:
+    """One row, what deleting a source takes: units, parents, relations that touch its chunks, relations of its
+    parents to anything but chunks (parent_edges: parent_id, other_label), entities that only it mentions."""
+    mine = F.col("source_id") == source_id
+    base = delete_preview(chunks, mentions, source_id)
+    p = parents.agg(F.count_if(mine).alias("parents"))
+    e = parent_edges.filter("other_label <> 'Chunk'").join(parents.filter(mine).select(F.col("id").alias("parent_id")), "parent_id", "left_semi").agg(F.count("*").alias("parent_relations"))
+    return base.join(p).join(e)
+
+
+def delete_source(tables: dict[str, DataFrame], source_id: str) -> dict[str, DataFrame]:
+    """The tables without a source: chunks, parents, mentions (chunk_id, name), edges with provenance. The source's
+    provenance is purged from the edges first, and an edge that had no other goes; entities stay."""
+    gone = tables["chunks"].filter(F.col("source_id") == source_id).select(F.col("id").alias("chunk_id"))
+    edges = tables["edges"]
+    left = F.filter("provenance", lambda p: p["source"] != source_id)
+    kept = edges.withColumn("provenance", left).filter(F.col("provenance").isNull() | (F.size("provenance") > 0))
+    return {
+        "chunks": tables["chunks"].filter(F.col("source_id") != source_id),
+        "parents": tables["parents"].filter(F.col("source_id") != source_id),
+        "mentions": tables["mentions"].join(gone, "chunk_id", "left_anti"),
+        "edges": kept,
+    }
+
+
+# --- labels ------------------------------------------------------------------------------------
+
+
+def swap_labels(nodes: DataFrame, live: str, new: str, backup: str) -> DataFrame:
+    """live becomes the backup and new becomes live, in one step."""
+    label = F.when(F.col("label") == live, backup).when(F.col("label") == new, live).otherwise(F.col("label"))
+    return nodes.withColumn("label", label)
+
+
+def swap_census(before: DataFrame, after: DataFrame, live: str, new: str, backup: str) -> DataFrame:
+    """live, backup, leftover, fine: counts after a swap, and whether they are those before it."""
+    was = before.agg(F.count_if(F.col("label") == live).alias("_live"), F.count_if(F.col("label") == new).alias("_new"), F.count_if(F.col("label") == backup).alias("_backup"))
+    now = after.agg(F.count_if(F.col("label") == live).alias("live"), F.count_if(F.col("label") == backup).alias("backup"), F.count_if(F.col("label") == new).alias("leftover"))
+    both = was.join(now)
+    return both.select("live", "backup", "leftover", ((F.col("live") == F.col("_new")) & (F.col("backup") == F.col("_live") + F.col("_backup")) & (F.col("leftover") == 0)).alias("fine"))
+
+
+def promote_dev(nodes: DataFrame) -> DataFrame:
+    """Labels that end in Dev lose it."""
+    return nodes.withColumn("label", F.regexp_replace("label", "Dev$", ""))
+
+
+def upsert_entities(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """By (label, name): type, synonyms, freq and last source of the latest load replace what was there."""
+    return existing.join(incoming.select("label", "name"), ["label", "name"], "left_anti").unionByName(incoming.select(*existing.columns))

@@ -351,3 +351,108 @@ def render_prompt(template: str, fragment: Column, tax: Taxonomy) -> Column:
     out = F.replace(F.lit(template), F.lit("{entities}"), F.lit(", ".join(tax.types)))
     out = F.replace(out, F.lit("{relations}"), F.lit(", ".join(r.name for r in tax.relations.values() if r.extract)))
     return F.replace(out, F.lit("{fragment}"), F.left(fragment, F.lit(tax.fragment)))
+
+
+def embed_all(rows: DataFrame, provider, batch: int = 10, tries: int = 3, store=None) -> DataFrame:
+    """id, embedding, calls, failed over rows (id, text): embed_missing, then once more over what it left without a
+    vector. calls are those of both passes, failed is the second's. store(df) keeps a pass, so that it isn't run twice."""
+    store = store or (lambda df: df.persist())
+    first = store(embed_missing(rows, provider, batch, tries))
+    lost = first.filter("embedding is null").select("id", F.col("calls").alias("_calls"))
+    second = store(embed_missing(rows.join(lost.select("id"), "id", "left_semi"), provider, batch, tries))
+    again = second.join(lost, "id").select("id", "embedding", (F.col("calls") + F.col("_calls")).alias("calls"), "failed")
+    return first.filter("embedding is not null").unionByName(again)
+
+
+def ask_batches(rows: DataFrame, provider, tries: int = 3) -> DataFrame:
+    """id, answers over rows (id, prompt): the JSON array that the model answers, or an empty one after the last try."""
+
+    def run(frames):
+        import json
+
+        import pandas as pd
+
+        for pdf in frames:
+            out = []
+            for prompt in pdf["prompt"]:
+                said: list = []
+                for _ in range(tries):
+                    try:
+                        got = provider(prompt)
+                        got = json.loads(got[got.index("[") : got.rindex("]") + 1])
+                    except Exception:  # noqa: BLE001  whatever a provider raises or answers is a failed try
+                        continue
+                    said = [json.dumps(x, ensure_ascii=False, sort_keys=True) for x in got]
+                    break
+                out.append(said)
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "answers": out})
+
+    return rows.select("id", "prompt").mapInPandas(run, "id long, answers array<string>")
+
+
+# --- the older validation, and small operators -------------------------------------------------
+
+
+def legacy_validate(entities: DataFrame, relations: DataFrame, types: list[str], kinds: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(entities, relations) that the older rules keep: names of 2 to 100 characters of a listed type; listed relations
+    with both ends, one of them at least an entity kept in the same chunk."""
+    name = T.entity_name(F.coalesce("name", F.lit("")))
+    e = entities.select("chunk_id", "at", name.alias("name"), F.lower(F.trim(F.coalesce("type", F.lit("")))).alias("type"), F.coalesce("synonyms", F.array().cast("array<string>")).alias("_s"))
+    clean = F.filter(F.transform("_s", lambda s: T.entity_name(s)), lambda s: (F.length(s) >= 2) & (s != F.col("name")))
+    e = e.filter(F.length("name").between(2, 100) & F.col("type").isin(*types)).select("chunk_id", "at", "name", "type", clean.alias("synonyms"))
+    end = lambda c: T.entity_name(F.coalesce(c, F.lit(""))).alias(c)
+    r = relations.select("chunk_id", "at", end("src"), F.upper(F.trim(F.coalesce("relation", F.lit("")))).alias("relation"), end("dst"))
+    r = r.filter((F.col("src") != "") & (F.col("dst") != "") & F.col("relation").isin(*kinds))
+    known = e.select("chunk_id", F.col("name").alias("_n")).distinct()
+    ends = r.select("chunk_id", "at", F.explode(F.array("src", "dst")).alias("_n")).join(known, ["chunk_id", "_n"], "left_semi").select("chunk_id", "at").distinct()
+    return e, r.join(ends, ["chunk_id", "at"], "left_semi")
+
+
+def distinct_in_order(rows: DataFrame) -> DataFrame:
+    """chunk_id, ord: each chunk at its first place (rows: ord, chunk_id), those that yielded nothing included."""
+    return rows.groupBy("chunk_id").agg(F.min("ord").alias("ord"))
+
+
+def group_types(edges: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, types, fine: the types of the edges that touch a duplicate of each group; a group with a type that isn't
+    an upper-case identifier must not be merged."""
+    d = groups.filter(F.col("id") != F.col("canonical")).select("label", "key", F.col("id").alias("_id"))
+    ends = edges.select(F.col("src").alias("_id"), "type").unionAll(edges.select(F.col("dst").alias("_id"), "type")).distinct()
+    t = d.join(ends, "_id").groupBy("label", "key").agg(F.array_sort(F.collect_set("type")).alias("types"))
+    return t.select("label", "key", "types", F.forall("types", lambda x: x.rlike("^[A-Z][A-Z0-9_]*$")).alias("fine"))
+
+
+def fill_provenance(edges: DataFrame, source: str, profile: str) -> DataFrame:
+    """Entries of provenance without a source or profile get the run's; no provenance becomes an empty one."""
+    item = lambda p: F.struct(p["chunk"].alias("chunk"), F.coalesce(p["source"], F.lit(source)).alias("source"), F.coalesce(p["profile"], F.lit(profile)).alias("profile"), p["evidence"].alias("evidence"))
+    kind = "array<struct<chunk:{c},source:string,profile:string,evidence:string>>".format(c=edges.schema["provenance"].dataType.elementType["chunk"].dataType.simpleString())
+    return edges.withColumn("provenance", F.coalesce(F.transform("provenance", item), F.array().cast(kind)))
+
+
+def merge_edge_provenance(edges: DataFrame, mapping: DataFrame) -> DataFrame:
+    """src, type, dst, provenance after duplicates gave way (mapping: id, canonical): an edge's own entries first, then
+    those of the edges that fell onto it, each chunk once; edges without any lineage stay without."""
+    m = mapping.select("id", "canonical")
+    x = edges.join(m.select(F.col("id").alias("src"), F.col("canonical").alias("cs")), "src", "left").join(m.select(F.col("id").alias("dst"), F.col("canonical").alias("cd")), "dst", "left")
+    inside = F.col("cs").isNotNull() & F.col("cd").isNotNull() & (F.col("cs") == F.col("cd"))
+    moved = (F.coalesce("cs", "src") != F.col("src")) | (F.coalesce("cd", "dst") != F.col("dst"))
+    x = x.filter(~inside).select(F.coalesce("cs", "src").alias("src"), "type", F.coalesce("cd", "dst").alias("dst"), F.struct(moved.alias("moved"), F.col("src").alias("s"), F.col("dst").alias("d")).alias("_from"), "provenance")
+    by = ["src", "type", "dst"]
+    p = x.select(*by, "_from", F.posexplode("provenance").alias("_at", "p"))
+    first = F.row_number().over(Window.partitionBy(*by, F.col("p")["chunk"]).orderBy("_from", "_at"))
+    p = p.withColumn("_n", first).filter("_n = 1").groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_from", "_at", "p"))).alias("x")).select(*by, F.transform("x", lambda y: y["p"]).alias("provenance"))
+    return x.select(*by).distinct().join(p, by, "left")
+
+
+def resolve_ontology(answers: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """name, target over answers (name, system, subcategory) and the catalogue (ord, code, system, name): the first
+    subcategory of the system that holds the answer's or is held by it, else the system itself. Blank names, `skip`
+    and systems that the catalogue lacks are dropped."""
+    low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    a = answers.select(low("name").alias("name"), low("system").alias("system"), low("subcategory").alias("sub")).distinct()
+    known = F.broadcast(catalogue.select("system").distinct())
+    a = a.filter((F.col("name") != "") & (F.col("system") != "skip")).join(known, "system", "left_semi")
+    c = F.broadcast(catalogue.select("system", "ord", "code", F.lower("name").alias("_c")))
+    hit = a.join(c, "system", "left").withColumn("_fits", F.contains("_c", "sub") | F.contains("sub", "_c"))
+    g = hit.groupBy("name", "system", "sub").agg(F.min_by(F.when(F.col("_fits"), F.col("code")), F.when(F.col("_fits"), F.col("ord"))).alias("code"))
+    return g.select("name", F.coalesce("code", "system").alias("target")).distinct()

@@ -97,3 +97,32 @@ def flatten_tree(tree: dict, parent: str | None = None, level: int = 0) -> list[
     for child in tree.get("children", []):
         out += flatten_tree(child, tree["code"], level + 1)
     return out
+
+
+def ensure_nodes(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """label, name, node_label, node_name, made: what each wanted node (label, name) stands for: the node of that label
+    with the same name whatever its case, else one of any label, else a new one."""
+    key = F.lower("name")
+    have = nodes.select("label", "name", key.alias("_k")).distinct()
+    same = have.groupBy(F.col("label").alias("_l"), "_k").agg(F.min("name").alias("same"))
+    other = have.groupBy("_k").agg(F.min(F.struct("label", "name")).alias("other"))
+    w = wanted.select("label", "name", key.alias("_k")).distinct()
+    j = w.join(same, (F.col("label") == F.col("_l")) & (w["_k"] == same["_k"]), "left").select("label", "name", w["_k"], "same").join(other, "_k", "left")
+    label = F.when(F.col("same").isNotNull(), F.col("label")).otherwise(F.coalesce(F.col("other")["label"], F.col("label")))
+    return j.select("label", "name", label.alias("node_label"), F.coalesce("same", F.col("other")["name"], "name").alias("node_name"), (F.col("same").isNull() & F.col("other").isNull()).alias("made"))
+
+
+def replace_dag(edges: DataFrame, steps: DataFrame) -> DataFrame:
+    """Edges (dag, src, dst, kind) after the pathways of steps were loaded again: theirs are new, others stay."""
+    return edges.join(steps.select("dag").distinct(), "dag", "left_anti").unionByName(step_edges(steps))
+
+
+def delete_dag(edges: DataFrame, name: str) -> DataFrame:
+    return edges.filter(F.col("dag") != name)
+
+
+def crossed(up: DataFrame, links: DataFrame, one: str, two: str, limit: int = 15) -> DataFrame:
+    """src, dst of links whose ends lie under `one` and `two` of two hierarchies (up: descendant, ancestor)."""
+    a = up.filter(F.col("ancestor") == one).select(F.col("descendant").alias("src"))
+    b = up.filter(F.col("ancestor") == two).select(F.col("descendant").alias("dst"))
+    return links.select("src", "dst").distinct().join(a, "src", "left_semi").join(b, "dst", "left_semi").orderBy("src", "dst").limit(limit)
