@@ -76,31 +76,26 @@ class Taxonomy:
         return spark.createDataFrame([(r.name, list(r.sources), list(r.targets), r.extract) for r in self.relations.values()], "relation string, sources array<string>, targets array<string>, extract boolean")
 
 
-def same_token(a: Column, b: Column) -> Column:
-    """Equal, or the same word with another suffix: at least 4 letters, at most 3 longer."""
-    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    return (a == b) | ((short >= 4) & (long - short <= 3) & (F.left(a, short - 1) == F.left(b, short - 1)))
+def token_pattern(token: Column) -> Column:
+    """A pattern of the words (of [a-z0-9]) that are the token up to a suffix: both of at least 4 letters, at most 3
+    letters apart in length, and equal in all letters but the last of the shorter."""
+    n = F.length(token)
+    shorter = [F.when(n - k >= 4, F.concat(F.left(token, n - k - 1), F.lit("[^ ]"))) for k in (1, 2, 3)]
+    same = F.concat_ws("|", F.concat(F.left(token, n - 1), F.lit("[^ ]{1,4}")), *shorter)
+    return F.when(n >= 4, F.concat(F.lit("(?:"), same, F.lit(")"))).otherwise(token)
 
 
-def appears(name: Column, fragment: Column, toks: Column) -> Column:
+def appears(name: Column, fragment: Column) -> Column:
     """Whether a folded name is in a folded fragment: literally, or as neighbouring words up to suffixes."""
-    parts = F.split(name, " ")
-    n, m = F.size(parts), F.size(toks)
-    at = lambda i: F.forall(F.sequence(F.lit(0), n - 1), lambda j: same_token(F.get(parts, j), F.get(toks, i + j)))
-    fuzzy = F.when(n <= m, F.exists(F.sequence(F.lit(0), m - n), at)).otherwise(F.lit(False))
-    return (name != "") & (F.contains(fragment, name) | fuzzy)
-
-
-def bound(values: dict[str, Column], use) -> Column:
-    """use(struct of values), each value computed once: the optimizer can't copy it into every place that reads it."""
-    return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), use), F.lit(0))
+    pattern = F.concat(F.lit("(?:^| )"), F.array_join(F.transform(F.split(name, " "), token_pattern), " "), F.lit("(?: |$)"))
+    return (name != "") & (F.contains(fragment, name) | F.rlike(fragment, pattern))
 
 
 def entity_motive(name: Column, kind: Column, synonyms: Column, fragment: Column, tax: Taxonomy) -> Column:
     """Why an entity is refused (name already normalised, fragment folded), or null; the first reason in order."""
 
     def told(v: Column) -> Column:
-        seen = appears(v["folded"], v["fragment"], v["toks"]) | F.exists(v["synonyms"], lambda s: appears(s, v["fragment"], v["toks"]))
+        seen = appears(v["folded"], v["fragment"]) | F.exists(v["synonyms"], lambda s: appears(s, v["fragment"]))
         return (
             F.when(F.length(F.coalesce(v["name"], F.lit(""))) < tax.min_name, "nombre_corto")
             .when(F.length(v["name"]) > tax.max_name, "nombre_largo")
@@ -111,13 +106,19 @@ def entity_motive(name: Column, kind: Column, synonyms: Column, fragment: Column
 
     keys = F.transform(F.coalesce(synonyms, F.array().cast("array<string>")), lambda s: T.fold_key(s))
     first = {"name": name, "kind": kind, "synonyms": keys, "fragment": fragment}
-    return bound(first, lambda v: bound({**{k: v[k] for k in first}, "folded": T.fold_key(v["name"]), "toks": F.split(v["fragment"], " ")}, told))
+    return T.bound(first, lambda v: T.bound({**{k: v[k] for k in first}, "folded": T.fold_key(v["name"])}, told))
+
+
+def fragment(text: Column, tax: Taxonomy) -> Column:
+    """What of a text the extraction has seen, folded."""
+    return T.fold_key(F.left(F.coalesce(text, F.lit("")), F.lit(tax.fragment)))
 
 
 def validate_entities(raw: DataFrame, tax: Taxonomy) -> DataFrame:
-    """chunk_id, at, name, type, synonyms, motive over raw (chunk_id, at, name, type, synonyms, text)."""
+    """chunk_id, at, name, type, synonyms, motive over raw (chunk_id, at, name, type, synonyms, text). The fragment is
+    folded once for each text, not for each entity: where raw has it as `fragment`, already folded, it is taken."""
     clean = F.filter(F.transform(F.coalesce("synonyms", F.array().cast("array<string>")), lambda s: T.entity_name(s)), lambda s: F.length(s) >= tax.min_name)
-    x = raw.select("chunk_id", "at", T.entity_name(F.coalesce("name", F.lit("")), not tax.fold_accents).alias("name"), F.lower(F.trim(F.coalesce("type", F.lit("")))).alias("type"), clean.alias("synonyms"), T.fold_key(F.left(F.coalesce("text", F.lit("")), F.lit(tax.fragment))).alias("_f"))
+    x = raw.select("chunk_id", "at", T.entity_name(F.coalesce("name", F.lit("")), not tax.fold_accents).alias("name"), F.lower(F.trim(F.coalesce("type", F.lit("")))).alias("type"), clean.alias("synonyms"), (F.col("fragment") if "fragment" in raw.columns else fragment(F.col("text"), tax)).alias("_f"))
     x = x.withColumn("synonyms", F.filter("synonyms", lambda s: s != F.col("name")))
     return x.select("chunk_id", "at", "name", "type", "synonyms", entity_motive(F.col("name"), F.col("type"), F.col("synonyms"), F.col("_f"), tax).alias("motive"))
 
@@ -139,7 +140,7 @@ def relation_motive(tax: Taxonomy, need_evidence: bool = True) -> Column:
     ev = T.fold_key(F.coalesce("evidence", F.lit("")))
     ev_toks, toks = F.split(ev, " "), F.split(frag, " ")
     none = F.array().cast("array<string>")
-    ends = lambda n, syn: appears(T.fold_key(n), ev, ev_toks) | F.exists(F.coalesce(syn, none), lambda s: appears(T.fold_key(s), ev, ev_toks))
+    ends = lambda n, syn: appears(T.fold_key(n), ev) | F.exists(F.coalesce(syn, none), lambda s: appears(T.fold_key(s), ev))
     share = F.size(F.filter(ev_toks, lambda w: F.array_contains(toks, w))) / F.size(ev_toks)
     inverted, negated = F.lit(False), F.lit(False)
     for r in tax.relations.values():
@@ -281,7 +282,8 @@ def duplicate_groups(nodes: DataFrame) -> DataFrame:
     by = Window.partitionBy("label", "key")
     n = n.withColumn("size", F.count("*").over(by)).filter("size > 1")
     best = F.first("id").over(by.orderBy(F.desc("degree"), F.desc("freq"), F.desc(F.length("name")), "id"))
-    return n.select("label", "key", "size", "id", "name", "freq", "degree", best.alias("canonical"))
+    more = ["synonyms"] if "synonyms" in nodes.columns else []
+    return n.select("label", "key", "size", "id", "name", "freq", "degree", best.alias("canonical"), *more)
 
 
 def doubtful(groups: DataFrame) -> DataFrame:
@@ -292,9 +294,13 @@ def doubtful(groups: DataFrame) -> DataFrame:
 
 
 def merge_nodes(groups: DataFrame) -> DataFrame:
-    """canonical, freq, synonyms: frequencies summed, names of the duplicates as synonyms but for the canonical's own."""
+    """canonical, freq, synonyms: frequencies summed; names and, where groups have them, synonyms of all members, but
+    for the canonical's own name."""
     own = F.max(F.when(F.col("id") == F.col("canonical"), F.col("name"))).alias("own")
-    g = groups.groupBy("canonical").agg(own, F.sum("freq").alias("freq"), F.array_sort(F.collect_set("name")).alias("names"))
+    names = F.collect_set("name")
+    if "synonyms" in groups.columns:
+        names = F.array_union(names, F.flatten(F.collect_list(F.coalesce("synonyms", F.array().cast("array<string>")))))
+    g = groups.groupBy("canonical").agg(own, F.sum("freq").alias("freq"), F.array_sort(names).alias("names"))
     return g.select("canonical", "freq", F.array_remove("names", F.col("own")).alias("synonyms"))
 
 

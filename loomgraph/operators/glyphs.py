@@ -201,7 +201,7 @@ def font_tables(spans: DataFrame, words: DataFrame) -> DataFrame:
     broken = spans.filter(is_broken(F.col("text")))
     enough = broken.groupBy("doc", "font").agg(F.sum(F.length("text")).alias("n")).filter(F.col("n") >= FONT_CHARACTERS)
     texts = broken.join(enough.select("doc", "font"), ["doc", "font"], "left_semi").select("doc", "font", "page", "at", "text")
-    needed = words.join(texts.select("doc").distinct(), "doc", "left_semi")
+    needed = words.join(texts.select("doc").distinct(), "doc", "left_semi").select(F.col("doc").alias("_doc"), F.col("word").alias("word"))
 
     def one(spans_of, words_of):
         import pandas as pd
@@ -214,7 +214,7 @@ def font_tables(spans: DataFrame, words: DataFrame) -> DataFrame:
             rows.append((part["doc"].iloc[0], font, told["method"], told["shift"], told["confidence"], told["words"], s.table if fine else None))
         return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in TABLE.split(", ")]).astype({"shift": "Int64"})
 
-    return texts.groupBy("doc").cogroup(needed.groupBy("doc")).applyInPandas(one, TABLE.format(key=key))
+    return texts.groupBy("doc").cogroup(needed.groupBy("_doc")).applyInPandas(one, TABLE.format(key=key))
 
 
 def _covered(spans: DataFrame, text: str, words: DataFrame, name: str) -> DataFrame:

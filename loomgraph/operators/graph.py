@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgraph.sources.files import stored
+
 
 def both_ways(edges: DataFrame) -> DataFrame:
     """name, other, other_label, type: each edge from either end."""
@@ -53,14 +55,17 @@ def differential(edges: DataFrame, kind: str, name: str, limit: int = 25) -> Dat
 
 
 def closure(parents: DataFrame, depth: int = 5) -> DataFrame:
-    """descendant, ancestor, depth (the least) over parents (child, parent); 0 for itself; ends at `depth`, so a cycle does too."""
-    e = parents.select("child", "parent").distinct()
+    """descendant, ancestor, depth (the least) over parents (child, parent); 0 for itself; ends at `depth`, so a cycle
+    does too, and when a level adds nothing. Every level is stored, so it is computed once."""
+    e = stored(parents.select("child", "parent").distinct())
     names = e.select(F.col("child").alias("n")).union(e.select("parent")).distinct()
     out = names.select(F.col("n").alias("descendant"), F.col("n").alias("ancestor"), F.lit(0).alias("depth"))
     front = out
     for k in range(1, depth + 1):
         step = e.select(F.col("child").alias("ancestor"), F.col("parent").alias("_up"))
-        front = front.join(step, "ancestor").select("descendant", F.col("_up").alias("ancestor"), F.lit(k).alias("depth")).distinct()
+        front = stored(front.join(step, "ancestor").select("descendant", F.col("_up").alias("ancestor"), F.lit(k).alias("depth")).distinct())
+        if not front.head(1):
+            break
         out = out.unionAll(front)
     return out.groupBy("descendant", "ancestor").agg(F.min("depth").alias("depth"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +39,6 @@ def close_up(text: str) -> str:
 
 def despace(c: Column) -> Column:
     """close_up for a column, in Arrow batches; rows without such a run stay as they are."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else close_up(t))
@@ -120,31 +119,32 @@ def heading_holds(line: Column, pattern: str) -> Column:
     """Whether a line that starts with the pattern is a heading and not prose that starts like one: the label
     ends where a word ends, no bracket closes after it, a lower-case label has no full stop, comma or semicolon
     after it, and what follows doesn't go on in lower case."""
-    rest = F.regexp_replace(line, f"^(?:{pattern})", "")
-    closing = F.left(F.ltrim(rest), F.lit(1))
-    first_letter = F.regexp_extract(rest, r"\p{L}", 0)
-    return (
-        line.rlike(f"^(?:{pattern})")
-        & ~rest.rlike(r"^\p{L}")
-        & (closing != ")")
-        & ~(line.rlike(r"^\p{Ll}") & closing.isin(".", ",", ";"))
-        & ~first_letter.rlike(r"^\p{Ll}")
-    )
+    return line.rlike(f"^(?:{pattern})") & T.bound({"line": line, "rest": F.regexp_replace(line, f"^(?:{pattern})", "")}, _goes_on_as_heading)
+
+
+def _goes_on_as_heading(v: Column) -> Column:
+    closing = F.left(F.ltrim(v["rest"]), F.lit(1))
+    lower_start = v["line"].rlike(r"^\p{Ll}")
+    return ~v["rest"].rlike(r"^\p{L}") & (closing != ")") & ~(lower_start & closing.isin(".", ",", ";")) & ~v["rest"].rlike(r"^\P{L}*\p{Ll}")
 
 
 def chapter_title(line: Column, patterns: list[str]) -> Column:
     """The line, or the line without the folio glued to it, if it is a chapter heading as it stands or
     without accents and case; null if it is none."""
     bare = F.trim(line)
-    shorn = F.regexp_replace(bare, GLUED_FOLIO, "")
-    out = F.lit(None).cast("string")
-    for v in (F.when((shorn != bare) & (F.length(shorn) >= 3), shorn), F.when(F.length(bare) >= 3, bare)):
-        plain = T.unaccent_in_place(v)
-        fits = F.lit(False)
+    forms = F.filter(F.array_distinct(F.array(bare, F.regexp_replace(bare, GLUED_FOLIO, ""))), lambda v: F.length(v) >= 3)
+
+    def fits(v: Column) -> Column:
+        out = F.lit(False)
         for p in patterns:
-            fits = fits | heading_holds(v, p) | heading_holds(plain, f"(?i:{_plain(p)})")
-        out = F.when(fits, v).otherwise(out)
-    return out
+            out = out | heading_holds(v, p) | _folded_holds(v, f"(?i:{_plain(p)})")
+        return out
+
+    return F.get(F.filter(forms, fits), F.lit(0))
+
+
+def _folded_holds(line: Column, pattern: str) -> Column:
+    return T.bound({"plain": T.unaccent_in_place(line)}, lambda x: heading_holds(x["plain"], pattern))
 
 
 def _plain(pattern: str) -> str:

@@ -31,35 +31,62 @@ def postings(docs: DataFrame, fields: list[str]) -> DataFrame:
     return out.groupBy("field", "term", "id").agg(F.count("*").alias("tf"))
 
 
-def _occurrences(tokens: str, term: str) -> Column:
-    return F.size(F.filter(tokens, lambda w: w == term))
+def _tokenised(docs: DataFrame, fields: list[str]) -> DataFrame:
+    """id, field, t: the tokens of each field."""
+    both = F.array(*(F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f), F.lit("")).alias("text")) for f in fields))
+    return docs.select("id", F.inline(both)).select("id", "field", T.tokens(F.col("text")).alias("t"))
+
+
+def _statistics(tokenised: DataFrame) -> DataFrame:
+    """field, n, a: documents and their mean length."""
+    return tokenised.groupBy("field").agg(F.count("*").alias("n"), F.avg(F.size("t")).alias("a"))
+
+
+def _scores(hits: DataFrame, stats: DataFrame) -> DataFrame:
+    """id, score over hits (field, term, id, tf, dl): BM25 summed over fields and terms."""
+    df = hits.groupBy("field", "term").agg(F.count("*").alias("df")).join(F.broadcast(stats), "field")
+    idf = F.log(F.lit(1.0) + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = F.broadcast(df.select("field", "term", idf.alias("idf"), "a"))
+    norm = F.col("tf") + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.col("a"))
+    return hits.join(weights, ["field", "term"]).groupBy("id").agg(F.round(F.sum(F.col("idf") * F.col("tf") * F.lit(K1 + 1) / norm), 6).alias("score"))
+
+
+def _no_scores(docs: DataFrame) -> DataFrame:
+    return docs.select("id", F.lit(None).cast("double").alias("score")).limit(0)
 
 
 def bm25(docs: DataFrame, terms: list[str], fields: list[str]) -> DataFrame:
-    """id, score of the docs that hold a term. Frequencies are counted in the row, so nothing is exchanged
-    but one row of corpus statistics (documents, lengths, and document frequencies of the query's terms)."""
+    """id, score of the docs that hold a term, for docs that have no index: reads all of them. Only rows that hold a
+    term are exchanged."""
     if not terms:
-        return docs.select("id", F.lit(None).cast("double").alias("score")).limit(0)
-    cols = ["id"]
-    x = docs.select("id", *(T.tokens(F.coalesce(F.col(f), F.lit(""))).alias(f"t_{f}") for f in fields))
-    for f in fields:
-        x = x.withColumn(f"n_{f}", F.size(f"t_{f}"))
-        cols.append(f"n_{f}")
-        for k, t in enumerate(terms):
-            x = x.withColumn(f"c_{f}_{k}", _occurrences(f"t_{f}", t))
-            cols.append(f"c_{f}_{k}")
-    x = x.select(*cols)
-    stats = x.agg(F.count("*").alias("n"), *(F.avg(f"n_{f}").alias(f"a_{f}") for f in fields), *(F.count_if(F.col(f"c_{f}_{k}") > 0).alias(f"d_{f}_{k}") for f in fields for k in range(len(terms)))).first()
-    score, any_ = F.lit(0.0), F.lit(False)
-    for f in fields:
-        for k in range(len(terms)):
-            df, tf = stats[f"d_{f}_{k}"], F.col(f"c_{f}_{k}").cast("double")
-            if df:
-                idf = math.log(1 + (stats["n"] - df + 0.5) / (df + 0.5))
-                norm = tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col(f"n_{f}") / F.lit(stats[f"a_{f}"]))
-                score = score + F.lit(idf) * tf * F.lit(K1 + 1) / norm
-                any_ = any_ | (tf > 0)
-    return x.filter(any_).select("id", F.round(score, 6).alias("score"))
+        return _no_scores(docs)
+    t = _tokenised(docs, fields)
+    found = t.select("id", "field", F.size("t").alias("dl"), F.explode(F.filter("t", lambda w: w.isin(terms))).alias("term"))
+    hits = found.groupBy("field", "term", "id", "dl").agg(F.count("*").alias("tf"))
+    return _scores(hits, _statistics(t))
+
+
+class Index:
+    """A stored inverted index: postings (field, term, id, tf, dl) sorted by term, so that a query reads the row
+    groups of its terms only, and one row of statistics for each field."""
+
+    def __init__(self, spark, path: str):
+        self.postings, self.stats = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/stats")
+
+    @staticmethod
+    def build(docs: DataFrame, fields: list[str], path: str) -> Index:
+        t = _tokenised(docs, fields)
+        rows = t.select("id", "field", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("field", "term", "id", "dl").agg(F.count("*").alias("tf"))
+        rows.repartitionByRange("term", "id").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+        _statistics(t).write.mode("overwrite").parquet(f"{path}/stats")
+        return Index(docs.sparkSession, path)
+
+    def bm25(self, terms: list[str], allowed: DataFrame | None = None) -> DataFrame:
+        """id, score of the docs that hold a term, of those allowed (id) if given; weights are those of the whole index."""
+        if not terms:
+            return _no_scores(self.postings)
+        out = _scores(self.postings.filter(F.col("term").isin(terms)), self.stats)
+        return out if allowed is None else out.join(allowed.select("id"), "id", "left_semi")
 
 
 def cosine(vectors: DataFrame, query: list[float], index_scale: bool = False) -> DataFrame:

@@ -62,9 +62,9 @@ def source_quality_rollup(spark, d):
 
 
 def _versions(spark, d):
-    """The table before, with vectors, and a new load of three sources: texts changed, chunks dropped and added."""
+    """The table before, with vectors, and a new load of every registered source: texts changed, chunks dropped and added."""
     old = chunks(spark, d).join(vectors(spark, d).select("id", "embedding"), "id", "left").select("id", "source_id", "text", "embedding")
-    few = chunks(spark, d).filter(F.col("source_id").isin("src1", "src2", "src3"))
+    few = chunks(spark, d).join(sources(spark, d).select(F.col("id").alias("source_id")), "source_id", "left_semi")
     new = few.filter("id % 7 <> 0").select("id", "source_id", F.when(F.col("id") % 5 == 0, F.concat("text", F.lit(" new"))).otherwise(F.col("text")).alias("text"))
     extra = few.filter("id % 11 = 0").select((F.col("id") + 1000000).alias("id"), "source_id", "text")
     return old, new.unionByName(extra)
@@ -144,7 +144,7 @@ n AS (SELECT source_id, count(*) AS units, count(v.vec_id) AS embedded, min(page
 cat AS (SELECT coalesce(s.id, n.source_id) AS id, coalesce(s.title, n.source_id) AS title, coalesce(s.source_kind, 'bibliografia') AS kind, s.id IS NOT NULL AS registered,
   coalesce(units, 0) AS units, coalesce(embedded, 0) AS embedded, last_page AS pages, CASE WHEN coalesce(units, 0) = 0 THEN 'fallido' WHEN embedded < units THEN 'parcial' ELSE 'ok' END AS status
   FROM sources s FULL JOIN n ON n.source_id = s.id)"""
-_VER = f"""{SQL_CHUNKS}, few AS (SELECT * FROM chunks WHERE source_id IN ('src1', 'src2', 'src3')),
+_VER = f"""{SQL_CHUNKS}, {SQL_SOURCES}, few AS (SELECT * FROM chunks WHERE source_id IN (SELECT id FROM sources)),
 new AS (SELECT id, source_id, CASE WHEN id % 5 = 0 THEN text || ' new' ELSE text END AS text FROM few WHERE id % 7 <> 0 UNION ALL SELECT id + 1000000, source_id, text FROM few WHERE id % 11 = 0)"""
 _MEN = f"{SQL_CHUNKS}, m AS (SELECT DISTINCT id AS chunk_id, source_id, unnest(regexp_extract_all(lower(text), '[a-z]{{2,}}(?:tion|heit|mente)')) AS name FROM chunks)"
 _K = "CASE id % 5 WHEN 0 THEN 'referencias' WHEN 1 THEN 'indice' WHEN 2 THEN NULL ELSE 'body' END"
@@ -164,7 +164,7 @@ SQL = {
       g AS (SELECT source_id, count(q) AS measured, count(*) FILTER (q IN ('corrupta', 'dudosa')) AS degraded FROM q GROUP BY 1)
       SELECT source_id, measured, degraded, round(degraded / nullif(measured, 0), 6) AS fraction, CASE WHEN measured = 0 THEN NULL WHEN degraded / measured > 0.30 THEN 'corrupta' WHEN degraded / measured > 0.10 THEN 'dudosa' ELSE 'ok' END AS quality FROM g""",
     "upsert_embedding_invalidation": f"""WITH {_VER}, old AS (SELECT c.id, source_id, text, v.vec_id IS NOT NULL AS e FROM chunks c LEFT JOIN embeddings v ON vec_id = c.id)
-      SELECT id, source_id, md5(text) AS text_md5, e AS embedded FROM old WHERE source_id NOT IN ('src1', 'src2', 'src3')
+      SELECT id, source_id, md5(text) AS text_md5, e AS embedded FROM old WHERE source_id NOT IN (SELECT id FROM sources)
       UNION ALL SELECT n.id, n.source_id, md5(n.text), coalesce(o.text = n.text AND o.e, false) FROM new n LEFT JOIN old o ON o.id = n.id""",
     "orphan_chunks": f"WITH {_VER} SELECT id, source_id FROM few WHERE id NOT IN (SELECT id FROM new)",
     "skip_loaded": f"WITH {_VER}, a AS (SELECT source_id, count(*) AS incoming FROM new GROUP BY 1), b AS (SELECT source_id, count(*) AS existing FROM chunks WHERE id % 3 <> 0 GROUP BY 1) SELECT source_id, incoming, coalesce(existing, 0) AS existing FROM a LEFT JOIN b USING (source_id) WHERE coalesce(existing, 0) < incoming",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loomgraph.functions import text as T
 from loomgraph.operators import extraction as X
 from loomgraph.plans.q_catalog import mentions
+from loomgraph.sources import files
 from loomgraph.sources.rebase import SQL_CHUNKS, chunks, read
 from loomgraph.streaming import streams
 
@@ -24,8 +25,8 @@ def _raw_entities(spark, d):
         item(0, at(3), "Concept"), item(1, F.concat(at(5), F.lit("xs")), "tool"), item(2, F.lit("x"), "concept"), item(3, F.lit("zzqq absent"), "concept"),
         item(4, at(4), "unknown"), item(5, F.lit("Concepts"), "concept"), item(6, F.lit("absent thing"), "concept", (at(7),)),
     )
-    x = read(spark, d, "documents").filter(F.size(w) >= 12).select(F.col("doc_id").alias("chunk_id"), "text", F.explode(rows).alias("e"))
-    return x.select("chunk_id", "text", "e.*")
+    x = read(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text", X.fragment(F.col("text"), TAX).alias("fragment"), F.explode(rows).alias("e"))
+    return x.select("chunk_id", "text", "fragment", "e.*")
 
 
 def validate_entities(spark, d):
@@ -45,7 +46,7 @@ def _raw_relations(spark, d):
         item(0, at(3), "uses", tool, span), item(1, tool, "uses", at(3), span), item(2, at(3), "NOPE", tool, span), item(3, at(3), "uses", at(3), span),
         item(4, at(3), "part_of", tool, F.lit("nothing of this is in there")), item(5, at(3), "uses", F.lit(""), span), item(6, F.lit("ghost"), "uses", F.lit("spook"), span),
     )
-    x = read(spark, d, "documents").filter(F.size(w) >= 12).select(F.col("doc_id").alias("chunk_id"), "text", F.explode(rows).alias("r"))
+    x = read(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text", F.explode(rows).alias("r"))
     return x.select("chunk_id", "text", "r.*")
 
 
@@ -151,10 +152,13 @@ def dedup_report(spark, d):
 
 
 def checkpoint_resume(spark, d):
-    n = spark.range(0, 400).select(F.col("id").alias("n"))
-    line = F.when(F.col("n") == 0, '{"header": "v1"}').when(F.col("n") % 7 == 0, F.concat(F.lit('{"chunk_id": '), "n")).when(F.col("n") % 5 == 0, F.concat(F.lit('{"chunk_id": '), "n", F.lit(', "error": "x"}'))).otherwise(F.concat(F.lit('{"chunk_id": '), "n", F.lit("}")))
+    """A checkpoint file over all documents: some lines are cut short, some records hold an error."""
+    n, rec = F.col("doc_id"), F.concat(F.lit('{"chunk_id": '), "doc_id")
+    line = F.when(n % 7 == 0, rec).when(n % 5 == 0, F.concat(rec, F.lit(', "error": "x"}'))).otherwise(F.concat(rec, F.lit("}")))
     todo = read(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"))
-    return X.resume(n.select("n", line.alias("line")), todo, "v1")
+    path = files.scratch(spark)
+    spark.range(1).select(F.lit('{"header": "v1"}')).unionAll(read(spark, d, "documents").select(line)).write.text(path)
+    return X.resume(files.read_checkpoint(spark, path), todo, "v1")
 
 
 def prompt_rendered(spark, d):
@@ -172,7 +176,7 @@ def _provider(text: str) -> list[float]:
 def embedding_missing(spark, d):
     rows = chunks(spark, d).join(read(spark, d, "embeddings").select(F.col("vec_id").alias("id")), "id", "left_anti")
     out = X.embed_missing(rows, _provider)
-    return out.agg(F.count("embedding").alias("embedded"), F.count_if(F.col("embedding").isNull()).alias("without"), F.sum("calls").alias("calls"), F.count_if("failed").alias("failed"))
+    return out.agg(F.count("embedding").alias("embedded"), F.count_if(F.col("embedding").isNull()).alias("without"), F.coalesce(F.sum("calls"), F.lit(0)).alias("calls"), F.count_if("failed").alias("failed"))
 
 
 def telemetry_tumbling(spark, d):
@@ -200,32 +204,37 @@ def _appears(n: str) -> str:
 
 
 _ENT = f"""
-WITH w AS (SELECT doc_id AS chunk_id, text, {_W} AS w, {_KEY('text[:2500]')} AS f FROM documents WHERE len({_W}) >= 12),
+WITH w AS (SELECT doc_id AS chunk_id, text, {_W} AS w, {_KEY('text[:2500]')} AS f FROM documents),
 r AS (SELECT chunk_id, f, string_split(f, ' ') AS t, unnest([0, 1, 2, 3, 4, 5, 6]) AS "at", unnest([w[4], w[6] || 'xs', 'x', 'zzqq absent', w[5], 'Concepts', 'absent thing']) AS name,
   unnest(['concept', 'tool', 'concept', 'concept', 'unknown', 'concept', 'concept']) AS type, unnest([NULL, NULL, NULL, NULL, NULL, NULL, w[8]]) AS syn FROM w),
-n AS (SELECT chunk_id, "at", f, t, {_NORM('name')} AS name, type, {_NORM('syn')} AS syn FROM r),
+n AS (SELECT chunk_id, "at", f, t, {_NORM("coalesce(name, '')")} AS name, type, {_NORM('syn')} AS syn FROM r),
 k AS (SELECT *, {_KEY('name')} AS k, CASE WHEN length(syn) >= 2 AND syn <> name THEN {_KEY('syn')} ELSE '' END AS sk FROM n),
 v AS (SELECT chunk_id, "at"::INTEGER AS "at", name, type, CASE WHEN length(name) < 2 THEN 'nombre_corto' WHEN length(name) > 100 THEN 'nombre_largo' WHEN type NOT IN ('concept', 'tool') THEN 'tipo_entidad'
   WHEN k IN ('concept', 'concepts', 'tool', 'tools') THEN 'nombre_de_tipo' WHEN f <> '' AND NOT {_appears('k')} AND NOT {_appears('sk')} THEN 'sin_evidencia' END AS motive FROM k)
 """
 _MEN = f"{SQL_CHUNKS}, m AS (SELECT DISTINCT id AS chunk_id, source_id, unnest(regexp_extract_all(lower(text), '[a-z]{{2,}}(?:tion|heit|mente)')) AS name FROM chunks)"
 _REL = "rel AS (SELECT lang AS src, 'IN' AS relation, 'd' || doc_id % 13 AS dst, doc_id AS chunk, source, length(text[:240]) AS n FROM documents)"
-_OLD = """old AS (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY chunk) AS r FROM rel WHERE chunk % 2 = 0 AND NOT (src = 'fr' AND dst IN ('d1', 'd2'))),
-bare AS (SELECT DISTINCT src, relation, dst FROM rel WHERE chunk % 2 = 0 AND src = 'fr' AND dst IN ('d1', 'd2'))"""
+_OLD = """old AS (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY chunk) AS r FROM rel WHERE NOT (src = 'fr' AND dst IN ('d1', 'd2'))),
+bare AS (SELECT DISTINCT src, relation, dst FROM rel WHERE src = 'fr' AND dst IN ('d1', 'd2'))"""
 _O = "chunk || '/' || source || '/' || CASE WHEN r <= 12 THEN n ELSE 0 END"
 _DUP = """n AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS name, 'Part' AS label, p_size::BIGINT AS freq, coalesce(degree, 0) AS degree FROM part LEFT JOIN (SELECT l_partkey, count(*) AS degree FROM lineitem GROUP BY 1) ON l_partkey = p_partkey),
 g AS (SELECT label, trim(lower(strip_accents(name))) AS key, count(*) OVER p AS size, id, name, freq, degree, first_value(id) OVER (PARTITION BY label, trim(lower(strip_accents(name))) ORDER BY degree DESC, freq DESC, length(name) DESC, id) AS canonical FROM n WINDOW p AS (PARTITION BY label, trim(lower(strip_accents(name)))) QUALIFY count(*) OVER p > 1)"""
 SQL = {
     "validate_entities": f"{_ENT} SELECT * FROM v",
     "extraction_discards": f"{_ENT} SELECT motive, count(*) AS n FROM v WHERE motive IS NOT NULL GROUP BY 1",
-    "evidence_spans": f"WITH b AS (SELECT item_id, {_KEY(f'array_to_string({_W}[:6], chr(32))')} AS name FROM benchmark) SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, ' ' || {_KEY('text')} || ' ' AS t FROM documents) JOIN b ON len(string_split(name, ' ')) = 6 AND contains(t, ' ' || name || ' ')",
+    "evidence_spans": f"""WITH b AS (SELECT item_id, string_split({_KEY('text')}, ' ') AS t FROM benchmark WHERE {_KEY('text')} <> ''), d AS (SELECT doc_id, string_split({_KEY('text')}, ' ') AS t FROM documents),
+      w AS (SELECT DISTINCT item_id, array_to_string(t[i : i + 5], ' ') AS g FROM (SELECT item_id, t, unnest(range(1, len(t) - 4)) AS i FROM b WHERE len(t) >= 6)),
+      x AS (SELECT DISTINCT doc_id, array_to_string(t[i : i + 5], ' ') AS g FROM (SELECT doc_id, t, unnest(range(1, len(t) - 4)) AS i FROM d WHERE len(t) >= 6))
+      SELECT DISTINCT doc_id, item_id FROM x JOIN w USING (g) UNION SELECT doc_id, item_id FROM d, b WHERE len(b.t) < 6 AND contains(' ' || array_to_string(d.t, ' ') || ' ', ' ' || array_to_string(b.t, ' ') || ' ')""",
     "canonical_entities": f"WITH {_MEN} SELECT source_id, name, count(*) AS freq, count(DISTINCT chunk_id)::INTEGER AS n_chunks FROM m GROUP BY 1, 2",
     "mention_counts": f"WITH {_MEN} SELECT source_id, name, count(*) AS freq, min(chunk_id) AS first_chunk, count(DISTINCT chunk_id) AS n_chunks FROM m GROUP BY 1, 2",
     "top_mentions": f"WITH {_MEN} SELECT name, chunk_id FROM m QUALIFY row_number() OVER (PARTITION BY name ORDER BY chunk_id) <= 10",
     "relation_provenance": f"WITH {_REL}, o AS (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY chunk) AS r FROM rel) SELECT src, relation, dst, string_agg({_O}, ',' ORDER BY chunk) AS provenance FROM o GROUP BY 1, 2, 3",
-    "provenance_merge": f"""WITH {_REL}, {_OLD}, new AS (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY chunk) AS r FROM rel WHERE chunk % 3 = 0 AND src = 'en'),
+    "provenance_merge": f"""WITH {_REL}, new AS (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY chunk) AS r FROM rel),
+      o AS (SELECT src, relation, 'd' || chunk % 17 AS dst, chunk, source, n FROM rel), old AS (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY chunk) AS r FROM o WHERE NOT (src = 'fr' AND dst IN ('d1', 'd2'))),
+      bare AS (SELECT DISTINCT src, relation, dst FROM o WHERE src = 'fr' AND dst IN ('d1', 'd2') AND (src, dst) NOT IN (SELECT src, dst FROM new)),
       u AS (SELECT src, relation, dst, 0 AS part, chunk, {_O} AS s FROM old WHERE (src, dst, chunk) NOT IN (SELECT src, dst, chunk FROM new) UNION ALL SELECT src, relation, dst, 1, chunk, {_O} FROM new)
-      SELECT src, relation, dst, string_agg(s, ',' ORDER BY part, chunk) AS provenance, src = 'de' OR (src = 'en' AND dst NOT IN (SELECT dst FROM new)) AS inherited FROM u GROUP BY 1, 2, 3 UNION ALL SELECT src, relation, dst, NULL, false FROM bare""",
+      SELECT src, relation, dst, string_agg(s, ',' ORDER BY part, chunk) AS provenance, src IN ('en', 'de') AND (src, dst) NOT IN (SELECT src, dst FROM new) AS inherited FROM u GROUP BY 1, 2, 3 UNION ALL SELECT src, relation, dst, NULL, false FROM bare""",
     "fragment_purge": f"WITH {_REL}, {_OLD} SELECT src, relation, dst, string_agg({_O}, ',' ORDER BY chunk) AS provenance FROM old WHERE chunk % 3 = 1 GROUP BY 1, 2, 3 UNION ALL SELECT src, relation, dst, NULL FROM bare",
     "inherited_census": f"WITH {_REL}, {_OLD}, e AS (SELECT DISTINCT src, dst, true AS p FROM old UNION ALL SELECT src, dst, false FROM bare) SELECT count(*) AS total, count(*) FILTER (src IN ('en', 'de')) AS inherited, count(*) FILTER (NOT p) AS unmarked FROM e",
     "closed_inherited": f"WITH {_REL}, {_OLD} SELECT src, relation, dst FROM old WHERE src IN ('en', 'de') GROUP BY 1, 2, 3 HAVING bool_and(source <> 'src11')",
@@ -235,7 +244,7 @@ SQL = {
     "repoint_edges": f"""WITH {_DUP}, e AS (SELECT * FROM (SELECT l_partkey AS src, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS dst FROM lineitem) WHERE dst IS NOT NULL)
       SELECT DISTINCT coalesce(a.canonical, src) AS src, 'NEXT_TO' AS type, coalesce(b.canonical, dst) AS dst FROM e LEFT JOIN g a ON a.id = src LEFT JOIN g b ON b.id = dst WHERE NOT coalesce(a.canonical = b.canonical, false)""",
     "dedup_report": f"WITH {_DUP} SELECT label, count(DISTINCT key) AS groups, count(*) AS nodes, count(*) - count(DISTINCT key) AS removed FROM g GROUP BY 1",
-    "checkpoint_resume": "SELECT doc_id AS chunk_id FROM documents WHERE NOT (doc_id BETWEEN 1 AND 399 AND doc_id % 7 <> 0 AND doc_id % 5 <> 0)",
+    "checkpoint_resume": "SELECT doc_id AS chunk_id FROM documents WHERE doc_id % 7 = 0 OR doc_id % 5 = 0",
     "prompt_rendered": "SELECT doc_id AS id, md5('Types: concept, tool. Relations: USES, PART_OF. Text: ' || text[:2500]) AS prompt_md5 FROM documents",
     "embedding_missing": "SELECT count(*) AS embedded, 0 AS without, count(*) AS calls, 0 AS failed FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)",
     "telemetry_tumbling": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2",

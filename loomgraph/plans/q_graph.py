@@ -81,12 +81,15 @@ def cross_system(spark, d):
 
 
 def coverage_pct(spark, d):
-    mapped = edges(spark, d).filter("type = 'SUPPLIES'").select(F.col("dst_label").alias("label"), F.col("dst").alias("name")).union(edges(spark, d).filter("type = 'IN_NATION' and src like '%1'").select("src_label", "src"))
+    mapped = edges(spark, d).filter("type = 'SUPPLIES'").select(F.col("dst_label").alias("label"), F.col("dst").alias("name")).union(edges(spark, d).filter("type = 'IN_NATION'").select("src_label", "src"))
     return G.coverage(nodes(spark, d), mapped)
 
 
 def unmapped_entities(spark, d):
-    return nodes(spark, d).filter("label = 'Customer'").join(edges(spark, d).filter("type = 'IN_NATION' and src like '%7'").select(F.col("src").alias("name")), "name", "left_anti").select("name").orderBy("name").limit(40)
+    """Parts that no supplier supplies and customers without an urgent order are mapped to nothing."""
+    buys = read(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").join(read(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_name").alias("name"))
+    mapped = edges(spark, d).filter("type = 'SUPPLIES'").select(F.col("dst").alias("name")).union(buys)
+    return nodes(spark, d).filter(F.col("label").isin("Customer", "Part")).join(mapped.distinct(), "name", "left_anti").select("label", "name").orderBy("label", "name")
 
 
 def _steps(spark, d):
@@ -131,7 +134,7 @@ def category_theta(spark, d):
     return m.groupBy("p_type").agg(F.min_by("cat", "ord").alias("cat"))
 
 
-_STEPS = """steps AS (SELECT user_id AS dag, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, ts::DATE AS ord, event_type || ' ' || event_id AS node FROM events WHERE user_id < 40),
+_STEPS = """steps AS (SELECT user_id AS dag, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, ts::DATE AS ord, event_type || ' ' || event_id AS node FROM events),
 lin AS (SELECT dag, node AS src, lead(node) OVER w AS dst, lead(ord) OVER w AS o2, ord FROM steps WINDOW w AS (PARTITION BY dag ORDER BY pos)),
 rk AS (SELECT *, dense_rank() OVER (PARTITION BY dag ORDER BY ord) AS r FROM steps), la AS (SELECT dag, r, arg_max(node, pos) AS src, count(*) AS n FROM rk GROUP BY 1, 2),
 dag AS (SELECT dag, src, dst, 'linear' AS kind FROM lin WHERE o2 <> ord UNION ALL SELECT k.dag, p.src, k.node, 'branch' FROM rk k JOIN la f ON f.dag = k.dag AND f.r = k.r AND f.n > 1 JOIN la p ON p.dag = k.dag AND p.r + 1 = k.r)"""
@@ -155,8 +158,8 @@ SQL = {
     "ontology_down": f"WITH RECURSIVE {_CLOSE} SELECT r_name AS ancestor, coalesce(array_to_string(list_sort(list(DISTINCT descendant) FILTER (descendant IS NOT NULL))[:20], ','), '') AS members FROM region LEFT JOIN closure ON ancestor = r_name AND depth BETWEEN 1 AND 3 GROUP BY 1",
     "ontology_cross": f"WITH RECURSIVE {_CLOSE}, s AS (SELECT DISTINCT dst, ancestor AS region FROM edges JOIN closure ON descendant = src JOIN region ON r_name = ancestor WHERE type = 'SUPPLIES') SELECT a.region AS one, b.region AS two, count(*) AS parts FROM s a JOIN s b ON a.dst = b.dst AND a.region < b.region GROUP BY 1, 2",
     "cross_system": f"WITH RECURSIVE {_CLOSE}, p AS (SELECT src, count(DISTINCT dst) AS parts, min(dst) AS first_part FROM edges WHERE type = 'SUPPLIES' GROUP BY 1) SELECT s_name AS name, ancestor AS region, coalesce(parts, 0) AS parts, first_part FROM supplier LEFT JOIN closure ON descendant = s_name AND depth = 2 LEFT JOIN p ON src = s_name",
-    "coverage_pct": f"WITH {SQL_NODES}, {SQL_EDGES}, m AS (SELECT dst_label AS label, dst AS name FROM edges WHERE type = 'SUPPLIES' UNION SELECT src_label, src FROM edges WHERE type = 'IN_NATION' AND src LIKE '%1') SELECT n.label, count(*) AS total, count(m.name) AS mapped, count(m.name) * 100 // count(*) AS percent FROM nodes n LEFT JOIN m ON m.label = n.label AND m.name = n.name GROUP BY 1",
-    "unmapped_entities": f"WITH {SQL_EDGES} SELECT c_name AS name FROM customer WHERE c_name NOT IN (SELECT src FROM edges WHERE type = 'IN_NATION' AND src LIKE '%7') ORDER BY 1 LIMIT 40",
+    "coverage_pct": f"WITH {SQL_NODES}, {SQL_EDGES}, m AS (SELECT dst_label AS label, dst AS name FROM edges WHERE type = 'SUPPLIES' UNION SELECT src_label, src FROM edges WHERE type = 'IN_NATION') SELECT n.label, count(*) AS total, count(m.name) AS mapped, count(m.name) * 100 // count(*) AS percent FROM nodes n LEFT JOIN m ON m.label = n.label AND m.name = n.name GROUP BY 1",
+    "unmapped_entities": f"WITH {SQL_NODES}, {SQL_EDGES} SELECT label, name FROM nodes WHERE label IN ('Customer', 'Part') AND name NOT IN (SELECT dst FROM edges WHERE type = 'SUPPLIES') AND name NOT IN (SELECT c_name FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT')",
     "dag_edges": f"WITH {_STEPS} SELECT * FROM dag",
     "dag_paths": f"WITH {_STEPS} SELECT dag, count(*) AS steps, min(src) AS first_src FROM (SELECT DISTINCT dag, src, dst FROM dag WHERE contains(lower(src), 'click')) GROUP BY 1",
     "dag_list": f"WITH {_STEPS} SELECT dag, kind, count(*) AS n FROM dag GROUP BY 1, 2",

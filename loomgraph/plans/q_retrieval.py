@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.operators import catalog as C
 from loomgraph.operators import retrieval as R
+from loomgraph.sources.files import scratch
 from loomgraph.sources.rebase import SQL_CHUNKS, SQL_SOURCES, chunks, read, sources, vectors
 
 QUERY, SECOND, THIRD = "the erth, of [thing] ation", "ciónes de la", "einer schaft"
@@ -16,8 +17,20 @@ def _seed(spark, d) -> list[float]:
     return list(vectors(spark, d).filter(F.col("id") == SEED).first()["embedding"])
 
 
+_indexes: dict[tuple, R.Index] = {}
+
+
+def index(spark, d, fields=("text",)) -> R.Index:
+    """The stored index of the chunks; built once for a session and folder."""
+    key = (spark.sparkContext.applicationId, d, fields)
+    if key not in _indexes:
+        docs = chunks(spark, d).withColumn("keywords", F.concat_ws(" ", "chapter", "section"))
+        _indexes[key] = R.Index.build(docs, list(fields), scratch(spark))
+    return _indexes[key]
+
+
 def _lexical(spark, d, query=QUERY, docs=None, fields=("text",)):
-    return R.bm25(chunks(spark, d) if docs is None else docs, R.query_terms(spark, query), list(fields))
+    return index(spark, d, fields).bm25(R.query_terms(spark, query), docs)
 
 
 def keyword_bm25_top40(spark, d):
@@ -25,8 +38,14 @@ def keyword_bm25_top40(spark, d):
 
 
 def keyword_bm25_four_fields(spark, d):
-    docs = chunks(spark, d).withColumn("keywords", F.concat_ws(" ", "chapter", "section"))
-    return R.top(_lexical(spark, d, "erth src1 en de", docs, ("text", "section", "chapter", "keywords")), 40)
+    return R.top(_lexical(spark, d, "erth src1 en de", fields=("text", "section", "chapter", "keywords")), 40)
+
+
+def search_index_build(spark, d):
+    """Builds the index anew and tells how many postings and documents of each field it has."""
+    made = R.Index.build(chunks(spark, d), ["text", "section"], scratch(spark))
+    n = made.postings.groupBy("field").agg(F.count("*").alias("postings"), F.count_distinct("term").alias("terms"))
+    return n.join(made.stats, "field").select("field", "postings", "terms", "n", F.round("a", 6).alias("mean_length"))
 
 
 def semantic_cosine_top40(spark, d):
@@ -159,7 +178,7 @@ _T1, _T2, _T3 = ["the", "erth", "of", "thing", "ation"], ["ciones", "de", "la"],
 _FUSED = f"""{SQL_CHUNKS}, {_bm('a', _T1)}, {_bm('b', _T2)}, {_cos('c')},
 fused AS (SELECT id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS rrf_score, count(*) AS routes FROM (SELECT id, rank FROM a_top UNION ALL SELECT id, rank FROM b_top UNION ALL SELECT id, rank FROM c_top) GROUP BY 1)"""
 _HITS = f"""{_FUSED}, hits AS (SELECT id, rrf_score, source_id, page, id // 4 * 4 AS parent_id FROM fused JOIN chunks USING (id))"""
-_ASKED = """asked AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN lower(text[:40]) || ' vs ation' WHEN 1 THEN 'what is ' || lower(text[:40]) || ' of the ation?' ELSE 'how heit' END AS q FROM documents)"""
+_ASKED = """asked AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN lower(text) || ' vs ation' WHEN 1 THEN 'what is ' || lower(text) || ' of the ation?' ELSE concat_ws(' ', 'how heit', lower(text)) END AS q FROM documents)"""
 
 
 def _four_fields() -> str:
@@ -177,9 +196,9 @@ SQL = {
     "semantic_index_score": f"WITH {_cos('c', 40, scale=True)} SELECT id, score, rank::INTEGER AS rank FROM c_top",
     "hybrid_rrf_top20": f"WITH {_FUSED} SELECT * FROM fused ORDER BY rrf_score DESC, id LIMIT 20",
     "hybrid_filtered_top20": f"""WITH {SQL_CHUNKS}, {SQL_SOURCES}, ok AS (SELECT c.* FROM chunks c JOIN sources s ON s.id = source_id WHERE list_contains(collections, 'shelf1') AND source_id <> 'src4'),
-      {_bm('a', _T1, 150, 'ok')}, {_cos('c', 150, '(SELECT * FROM embeddings WHERE vec_id IN (SELECT id FROM ok))')}
+      {_bm('w', _T1, 150)}, a_top AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM w_r WHERE id IN (SELECT id FROM ok) QUALIFY row_number() OVER (ORDER BY score DESC, id) <= 150), {_cos('c', 150, '(SELECT * FROM embeddings WHERE vec_id IN (SELECT id FROM ok))')}
       SELECT id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS rrf_score, count(*) AS routes FROM (SELECT id, rank FROM a_top UNION ALL SELECT id, rank FROM c_top) GROUP BY 1 ORDER BY rrf_score DESC, id LIMIT 20""",
-    "guarantee_floor": f"""WITH {SQL_CHUNKS}, mine AS (SELECT * FROM chunks WHERE source_id IN ('src3', 'src7')), {_bm('a', _T1)}, {_cos('c', scale=True)}, {_bm('m', _T1, 150, 'mine')}, {_cos('v', 150, '(SELECT * FROM embeddings WHERE vec_id IN (SELECT id FROM mine))', True)}
+    "guarantee_floor": f"""WITH {SQL_CHUNKS}, mine AS (SELECT * FROM chunks WHERE source_id IN ('src3', 'src7')), {_bm('a', _T1)}, {_cos('c', scale=True)}, m_top AS (SELECT id, score FROM a_r WHERE id IN (SELECT id FROM mine) QUALIFY row_number() OVER (ORDER BY score DESC, id) <= 150), {_cos('v', 150, '(SELECT * FROM embeddings WHERE vec_id IN (SELECT id FROM mine))', True)}
       SELECT id FROM mine WHERE id IN (SELECT id FROM m_top WHERE score >= 0.5 * (SELECT max(score) FROM a_top)) OR id IN (SELECT id FROM v_top WHERE score >= 0.5 * (SELECT max(score) FROM c_top))""",
     "group_by_parent": f"""WITH {_HITS} SELECT (list(id ORDER BY rrf_score DESC, id))[1] AS id, parent_id, max(rrf_score) AS rrf_score, count(*)::INTEGER AS n_units, string_agg(id::VARCHAR, ',' ORDER BY rrf_score DESC, id DESC) AS unit_ids FROM hits GROUP BY parent_id""",
     "group_by_page": f"""WITH {_HITS} SELECT (list(id ORDER BY rrf_score DESC, id))[1] AS id, source_id, page // 3 AS page, max(rrf_score) AS rrf_score, count(*)::INTEGER AS n_units FROM hits GROUP BY source_id, page // 3""",
@@ -198,6 +217,10 @@ SQL = {
     "postings_index": f"""WITH {SQL_CHUNKS}, p AS (SELECT 'text' AS field, id, unnest(list_filter(string_split_regex(lower(strip_accents(text)), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')) AS term FROM chunks
       UNION ALL SELECT 'section', id, unnest(list_filter(string_split_regex(lower(strip_accents(section)), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')) FROM chunks)
       SELECT field, term, count(DISTINCT id) AS df, count(*) AS cf FROM p GROUP BY ALL""",
+    "search_index_build": f"""WITH {SQL_CHUNKS}, p AS (SELECT 'text' AS field, id, list_filter(string_split_regex(lower(strip_accents(text)), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t FROM chunks
+      UNION ALL SELECT 'section', id, list_filter(string_split_regex(lower(strip_accents(section)), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') FROM chunks),
+      s AS (SELECT field, count(*) AS n, round(avg(len(t)), 6) AS mean_length FROM p GROUP BY 1), u AS (SELECT DISTINCT field, id, unnest(t) AS term FROM p)
+      SELECT field, count(*) AS postings, count(DISTINCT term) AS terms, any_value(n) AS n, any_value(mean_length) AS mean_length FROM u JOIN s USING (field) GROUP BY field""",
     "query_expand": f"""WITH {_ASKED}, w AS (SELECT doc_id, q, list_transform(list_filter(string_split_regex(trim(lower(q)), '\\s+'), lambda x: x <> ''), lambda x: trim(x, '.,;:?!()')) AS t FROM asked),
       s AS (SELECT *, array_to_string(list_filter(list_transform(t, lambda x: CASE x WHEN 'ation' THEN 'tion ing' WHEN 'heit' THEN 'keit' ELSE '' END), lambda x: x <> ''), ' ') AS e FROM w)
       SELECT doc_id, trim(q || CASE WHEN e <> '' THEN ' ' || e ELSE '' END || CASE WHEN contains(lower(q), 'of the') THEN ' von der' ELSE '' END) AS expanded FROM s""",
@@ -214,7 +237,7 @@ SQL = {
 def queries() -> dict:
     fs = [
         hybrid_rrf_top20, keyword_bm25_top40, keyword_bm25_four_fields, semantic_cosine_top40, semantic_index_score, hybrid_filtered_top20, guarantee_floor, group_by_parent, group_by_page, quota_select,
-        quota_select_capped, provenance_counts, facet_dedup, subquery_sum, legacy_term_score_top5, postings_index, query_expand, intent_classify, query_decompose, retrieval_degradation,
+        quota_select_capped, provenance_counts, facet_dedup, subquery_sum, legacy_term_score_top5, postings_index, search_index_build, query_expand, intent_classify, query_decompose, retrieval_degradation,
     ]
     return {f.__name__: f for f in fs}
 

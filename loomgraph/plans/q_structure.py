@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.operators import chunking as C
 from loomgraph.operators import structure as S
+from loomgraph.plans import q_text
 from loomgraph.sources.rebase import SQL_CHUNKS, chunks, read
 
 CHAPTER, SECTION = r"^\p{Lu}\p{Ll}* \p{Ll}+\.$", r"^\p{Lu}\p{Ll}*\.$"
@@ -87,9 +88,17 @@ c AS (
   SELECT doc_id, k + 1, b - 60, CASE WHEN b + 220 >= n THEN n ELSE coalesce(list_min(list_transform(list_filter(cuts, lambda i: i >= b + 190 AND i < least(n, b + 250)), lambda i: abs(i - b - 220) * 1000000000 + i)) % 1000000000, b + 220) + 1 END, n, cuts FROM c WHERE b < n
 ), t AS (SELECT *, k > 0 AND b - a < 150 AS tail, lead(b - a) OVER o AS next_len, lead(b) OVER o AS next_b FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
 bounds AS (
-  SELECT doc_id, k::INTEGER AS chunk_index, a::INTEGER AS start, (CASE WHEN next_len < 150 THEN next_b ELSE b END)::INTEGER AS "end", (b - a + CASE WHEN next_len < 150 THEN next_len ELSE 0 END)::INTEGER AS word_count
+  SELECT doc_id, k::INTEGER AS chunk_index, b, CASE WHEN next_len < 150 THEN next_b END AS rest, a::INTEGER AS start, (CASE WHEN next_len < 150 THEN next_b ELSE b END)::INTEGER AS "end", (b - a + CASE WHEN next_len < 150 THEN next_len ELSE 0 END)::INTEGER AS word_count
   FROM t WHERE NOT tail)
 """
+_CHUNK_TEXTS = r"""
+cum AS (SELECT doc_id, lang, source, list_transform(range(1, len(c) + 1), lambda i: list_sum(c[:i])) AS cum FROM
+  (SELECT doc_id, lang, source, list_transform(string_split(text, chr(10)), lambda x: len(list_filter(string_split_regex(trim(x), '\s+'), lambda y: y <> ''))) AS c FROM documents)),
+raw AS (SELECT b.*, printf('%s_v2_%05d', b.doc_id::VARCHAR, chunk_index) AS id, lang AS chapter, source AS section,
+  array_to_string(ws[start + 1 : b.b], ' ') || CASE WHEN rest IS NULL THEN '' ELSE ' ' || array_to_string(ws[b.b - 59 : rest], ' ') END AS text,
+  (len(list_filter(cum, lambda x: x <= start)) + 1)::INTEGER AS page_start, (len(list_filter(cum, lambda x: x <= "end" - 1)) + 1)::INTEGER AS page_end FROM bounds b JOIN w ON w.doc_id = b.doc_id JOIN cum ON cum.doc_id = b.doc_id),
+ch AS (SELECT *, max(page_end) OVER (PARTITION BY doc_id) AS pages FROM raw)"""
+_QUALITY_OF_CHUNKS = q_text._QUALITY.replace("FROM documents", "FROM (SELECT id AS doc_id, text FROM ch)")
 SQL = {
     "repeated_edge_lines": f"""WITH {SQL_CHUNKS}, {_LINES.format(k='source_id, page', t='chunks')},
       k AS (SELECT source_id, page, line_no, trim(regexp_replace(line, '\\s+', ' ', 'g')) AS key FROM l),
@@ -129,7 +138,18 @@ SQL = {
       e AS (SELECT *, count(cap) OVER (PARTITION BY source_id ORDER BY page, line_no) AS epoch, last_value(cap IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY page, line_no) AS chapter FROM h),
       s AS (SELECT *, last_value(sec IGNORE NULLS) OVER (PARTITION BY source_id, epoch ORDER BY page, line_no) AS section, count(coalesce(cap, sec)) OVER (PARTITION BY source_id, page ORDER BY line_no) AS seq FROM e)
       SELECT source_id, page, seq, string_agg(line, chr(10) ORDER BY line_no) AS text, arg_max(chapter, line_no) AS chapter, arg_max(section, line_no) AS section FROM s GROUP BY source_id, page, seq HAVING NOT regexp_full_match(string_agg(line, chr(10) ORDER BY line_no), '\\s*')""",
-    "chunk_bounds": f"WITH {_CHUNK} SELECT * FROM bounds",
+    "chunk_bounds": f"""WITH {_CHUNK} SELECT doc_id, chunk_index, start, "end", word_count FROM bounds""",
+    "chunks_described": f"""WITH {_CHUNK}, {_CHUNK_TEXTS}, q AS ({_QUALITY_OF_CHUNKS})
+      SELECT ch.id, ch.doc_id AS source_id, chunk_index, page_start, page_end, word_count, chapter, section, {q_text._sql_type('text', 'page_start', 'pages')} AS kind, q.quality, q.quality_value, md5(text) AS text_md5 FROM ch JOIN q ON q.doc_id = ch.id""",
+    "parents": f"""WITH {_CHUNK}, {_CHUNK_TEXTS}, p AS (SELECT *, chunk_index // 3 AS k, {q_text.WORDS.format('text')} AS ws2 FROM ch),
+      g AS (SELECT doc_id, k, flatten(list(CASE WHEN chunk_index % 3 = 0 THEN ws2 ELSE ws2[least(60, len(ws2) // 3) + 1 :] END ORDER BY chunk_index))[:1200] AS ws3, arg_min(page_start, chunk_index) AS page_start, arg_max(page_end, chunk_index) AS page_end, count(*)::INTEGER AS n_children FROM p GROUP BY 1, 2)
+      SELECT printf('%s_v2_parent_%05d', doc_id::VARCHAR, k) AS id, doc_id AS source_id, len(ws3)::INTEGER AS word_count, page_start, page_end, n_children, md5(array_to_string(ws3, ' ')) AS text_md5 FROM g""",
+    "chunk_paragraphs_v1": """WITH RECURSIVE p AS (SELECT doc_id, list_filter(list_transform(string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)), lambda x: trim(x, ' ')), lambda x: length(x) >= 10) AS ps FROM documents),
+      k AS (SELECT doc_id, list_transform(ps, lambda x: len(list_filter(string_split_regex(trim(x), '\\s+'), lambda y: y <> ''))) AS ks FROM p WHERE len(ps) > 0),
+      c AS (SELECT doc_id, 1 AS i, 0 AS chunk, ks[1] AS n, ks FROM k
+        UNION ALL SELECT doc_id, i + 1, CASE WHEN n + ks[i + 1] > 800 AND n > 100 THEN chunk + 1 ELSE chunk END, CASE WHEN n + ks[i + 1] > 800 AND n > 100 THEN ks[i + 1] ELSE n + ks[i + 1] END, ks FROM c WHERE i < len(ks)),
+      g AS (SELECT doc_id, chunk, max_by(n, i) AS n, max(chunk) OVER (PARTITION BY doc_id) AS last FROM c GROUP BY doc_id, chunk)
+      SELECT doc_id, chunk::INTEGER AS chunk_index, n::INTEGER AS word_count FROM g WHERE chunk < last OR n > 50""",
     "chunk_stats": f"""WITH {_CHUNK} SELECT count(*) AS n_chunks, round(avg(word_count), 6) AS avg_words, min(word_count) AS min_words, max(word_count) AS max_words,
       (SELECT count(DISTINCT lang) FROM documents WHERE trim(text) <> '') AS n_chapters, (SELECT count(DISTINCT source) FROM documents WHERE trim(text) <> '') AS n_sections FROM bounds""",
 }

@@ -75,8 +75,8 @@ def fn_folio_candidates(spark, d):
 
 
 def quality_signatures(spark, d):
-    s = T.signatures(F.col("text"))
-    return read(spark, d, "documents").select("doc_id", *(F.round(v, 6).alias(k) for k, v in s.items()), T.quality_value(s).alias("quality_value"), T.quality_label(s).alias("quality"))
+    s = {k: F.col("s")[k] for k in T.SCALE}
+    return read(spark, d, "documents").select("doc_id", T.signature_struct(F.col("text")).alias("s")).select("doc_id", *(F.round(v, 6).alias(k) for k, v in s.items()), T.quality_value(s).alias("quality_value"), T.quality_label(s).alias("quality"))
 
 
 def content_type(spark, d):
@@ -205,10 +205,10 @@ SQL = {
     "embed_text_canonical": f"WITH {SQL_CHUNKS} SELECT id, ('Capítulo: ' || chapter || '. Sección: ' || section || CASE WHEN id % 3 = 0 THEN '. Tipo: tabla' ELSE '' END || '. ' || text)[:2000] AS canonical FROM chunks",
     "fn_fold_key": _Q.format("trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')) AS key"),
     "fn_slug": _Q.format("regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')[:60] AS slug"),
-    "fn_entity_name": _Q.format("trim(regexp_replace(trim(regexp_replace(lower(text[:80]), '\\s+', ' ', 'g')), '[.;,]+$', '')) AS name, strip_accents(trim(regexp_replace(trim(regexp_replace(lower(text[:80]), '\\s+', ' ', 'g')), '[.;,]+$', ''))) AS plain"),
+    "fn_entity_name": _Q.format("trim(regexp_replace(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), '[.;,]+$', '')) AS name, strip_accents(trim(regexp_replace(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), '[.;,]+$', ''))) AS plain"),
     "fn_unaccent_positional": _Q.format("strip_accents(text) AS plain, length(strip_accents(text)) = length(text) AS same_length"),
     "fn_legacy_norm": _Q.format("translate(text, 'áéíóúüñÁÉÍÓÚÜÑ', 'aeiouunAEIOUUN') AS plain"),
-    "fn_query_terms": _Q.format(f"array_to_string({_LIST(f'''string_split_regex(trim(regexp_replace(lower(strip_accents(text[:200])), '[{_META}]', ' ', 'g')), '\\s+')''')}, ' ') AS terms"),
+    "fn_query_terms": _Q.format(f"array_to_string({_LIST(f'''string_split_regex(trim(regexp_replace(lower(strip_accents(text)), '[{_META}]', ' ', 'g')), '\\s+')''')}, ' ') AS terms"),
     "fn_line_key": "SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS line_no, trim(regexp_replace(line, '\\s+', ' ', 'g')) AS key FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)",
     "fn_clean_page_v1": _Q.format("trim(regexp_replace(regexp_replace(regexp_replace(text, '(?m)^[ \\t]*\\d{1,4}[ \\t]*$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), '[ \\t]+', ' ', 'g')) AS clean"),
     "fn_strip_folio": _TOP + "SELECT doc_id, string_agg(CASE WHEN hit = 1 THEN '' ELSE line END, chr(10) ORDER BY i) AS clean FROM g GROUP BY doc_id",

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.plans import q_catalog, q_extract, q_graph, q_retrieval, q_structure, q_text
+from loomgraph.plans import q_catalog, q_extract, q_files, q_graph, q_maintain, q_retrieval, q_router, q_structure, q_text
 
 
 def modules() -> list:
-    return [q_retrieval, q_text, q_structure, q_catalog, q_graph, q_extract]
+    return [q_retrieval, q_text, q_structure, q_catalog, q_graph, q_extract, q_files, q_router, q_maintain]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

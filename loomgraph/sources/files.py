@@ -38,6 +38,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: computed once, whatever reads it, and safe from lost executors."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- chunks and catalogue ----------------------------------------------------------------------
 
 
@@ -60,18 +67,20 @@ def read_chunks(spark: SparkSession, folder: str, catalogue: DataFrame, schema:
 
 def write_chunks(chunks: DataFrame, folder: str) -> None:
     """A JSON array for each source, <source_id>.json; one source is written by one task, chunk after chunk."""
-    root = folder.rstrip("/")
-    spark = chunks.sparkSession
-    names = chunks.columns
-    rows = chunks.select("source_id", F.to_json(F.struct(*names)).alias("j"), F.col("chunk_index").alias("_at"))
-    arrays = rows.groupBy("source_id").agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "j"))), lambda x: x["j"]), ",\n"), F.lit("]")).alias("value"))
-    arrays.write.mode("overwrite").partitionBy("source_id").text(f"{root}/_parts")
-    conf = spark._jsc.hadoopConfiguration()
+    rows = chunks.select("source_id", F.to_json(F.struct(*chunks.columns)).alias("j"), F.col("chunk_index").alias("_at"))
+    arrays = rows.groupBy(F.col("source_id").alias("name")).agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "j"))), lambda x: x["j"]), ",\n"), F.lit("]")).alias("value"))
+    write_files(arrays, folder, ".json")
+
+
+def write_files(rows: DataFrame, folder: str, suffix: str) -> None:
+    """A text file <name><suffix> for each row (name, value)."""
+    root, spark = folder.rstrip("/"), rows.sparkSession
+    rows.select("name", "value").write.mode("overwrite").partitionBy("name").text(f"{root}/_parts")
     path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(conf)
-    for s in fs.globStatus(path(f"{root}/_parts/source_id=*/part-*")):
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for s in fs.globStatus(path(f"{root}/_parts/name=*/part-*")) or []:
         name = s.getPath().getParent().getName().partition("=")[2]
-        fs.rename(s.getPath(), path(f"{root}/{name}.json"))
+        fs.rename(s.getPath(), path(f"{root}/{name}{suffix}"))
     fs.delete(path(f"{root}/_parts"), True)
 
 

@@ -46,11 +46,11 @@ def _fs(spark, table: str):
 def _manifest(spark, table: str) -> tuple[int, dict[str, int]]:
     """(epoch, part -> epoch of its files) of the newest finished batch."""
     path, fs = _fs(spark, table)
-    names = sorted(s.getPath().getName() for s in fs.globStatus(path(f"{table}/_v*.done")) or [])
+    names = sorted(s.getPath().getName() for s in fs.globStatus(path(f"{table}/v*.manifest")) or [])
     if not names:
         return -1, {}
     value = spark.read.text(f"{table}/{names[-1]}", wholetext=True).first()["value"]
-    return int(names[-1][2:-5]), json.loads(value)
+    return int(names[-1][1:-9]), json.loads(value)
 
 
 def _read(spark, table: str, parts: dict[str, int]) -> DataFrame | None:
@@ -105,7 +105,7 @@ def upsert_stream(incoming: DataFrame, table: str, checkpoint: str, keep: int =
                 parts[str(p)] = epoch
             else:
                 parts.pop(str(p), None)
-        out = fs.create(path(f"{table}/_v{epoch:012d}.done"), True)
+        out = fs.create(path(f"{table}/v{epoch:012d}.manifest"), True)
         out.write(bytearray(json.dumps(parts).encode()))
         out.close()
         fs.delete(path(f"{table}/_batch{epoch}"), True)
@@ -116,7 +116,7 @@ def upsert_stream(incoming: DataFrame, table: str, checkpoint: str, keep: int =
 
 def _vacuum(spark, table: str, keep: int) -> None:
     path, fs = _fs(spark, table)
-    names = sorted(s.getPath().getName() for s in fs.globStatus(path(f"{table}/_v*.done")) or [])
+    names = sorted(s.getPath().getName() for s in fs.globStatus(path(f"{table}/v*.manifest")) or [])
     named = set()
     for name in names[-keep:]:
         value = spark.read.text(f"{table}/{name}", wholetext=True).first()["value"]

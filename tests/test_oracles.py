@@ -5,11 +5,10 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from loomgraph.plans import q_catalog, q_extract, q_graph, q_retrieval, q_structure, q_text
+from loomgraph.plans import registry
 from tools.oracle import TABLES, rows
 
-SLOW = {"ontology_closure", "ontology_up", "ontology_cross", "cross_system", "hybrid_filtered_top20", "guarantee_floor", "group_by_page", "provenance_counts", "facet_dedup", "one_hop_neighbours"}
-CASES = [(m, k) for m in (q_text, q_structure, q_catalog, q_graph, q_extract, q_retrieval) for k in m.oracle_sql() if k not in SLOW]
+CASES = [(m, k) for m in registry.modules() for k in m.oracle_sql()]
 
 
 @pytest.fixture(scope="module")
