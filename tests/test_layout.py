@@ -56,7 +56,7 @@ def test_a_shifted_font_is_decoded_and_sound_spans_stay(spark):
     out = glyphs.decode(spark.createDataFrame(sound + broken + few, "doc long, font string, page int, at int, text string")).collect()
     got = {(r["page"], r["at"]): (r["text"], r["decoded"]) for r in out}
     assert all(got[1, i] == (t, False) for _, _, _, i, t in sound)
-    assert sum(got[2, i] == (t, True) for i, t in enumerate(plain)) >= 28
+    assert sum((got[2, i][0].lower(), got[2, i][1]) == (t, True) for i, t in enumerate(plain)) >= 28
     assert got[3, 0][1] is False and len(out) == 51
 
 
