@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as T
+from loomgraph.sources.files import stored
 
 K1, B, RRF_K, POOL, FLOOR = 1.2, 0.75, 60, 150, 0.5
 
@@ -75,7 +76,7 @@ class Index:
 
     @staticmethod
     def build(docs: DataFrame, fields: list[str], path: str) -> Index:
-        t = _tokenised(docs, fields)
+        t = stored(_tokenised(docs, fields))
         rows = t.select("id", "field", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("field", "term", "id", "dl").agg(F.count("*").alias("tf"))
         rows.repartitionByRange("term", "id").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
         _statistics(t).write.mode("overwrite").parquet(f"{path}/stats")

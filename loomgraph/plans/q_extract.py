@@ -18,14 +18,15 @@ TAX = X.Taxonomy(
 
 
 def _raw_entities(spark, d):
-    w = T.words(F.col("text"))
+    w = F.col("w")
     item = lambda at, name, kind, syn=(): F.struct(F.lit(at).alias("at"), name.alias("name"), F.lit(kind).alias("type"), F.array(*syn).cast("array<string>").alias("synonyms"))
     at = lambda i: F.get(w, F.lit(i))
     rows = F.array(
         item(0, at(3), "Concept"), item(1, F.concat(at(5), F.lit("xs")), "tool"), item(2, F.lit("x"), "concept"), item(3, F.lit("zzqq absent"), "concept"),
         item(4, at(4), "unknown"), item(5, F.lit("Concepts"), "concept"), item(6, F.lit("absent thing"), "concept", (at(7),)),
     )
-    x = read(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text", X.fragment(F.col("text"), TAX).alias("fragment"), F.explode(rows).alias("e"))
+    x = read(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text", T.words(F.col("text")).alias("w"), X.fragment(F.col("text"), TAX).alias("fragment"))
+    x = x.select("chunk_id", "text", "fragment", F.explode(rows).alias("e"))
     return x.select("chunk_id", "text", "fragment", "e.*")
 
 
