@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import random
-import string
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from loomgraph.llm import secrets
 from loomgraph.plans import q_extract, q_graph, q_retrieval, q_text
 
 
@@ -87,21 +84,6 @@ def test_provenance_of_every_chunk(spark, sf):
     assert {(r["src"], r["dst"]): r["inherited"] for r in merged} == {e: e not in new and e[0] in ("en", "de") for e in {*new, *was}}
 
 
-def test_secrets_of_letters_and_behind_words():
-    bpe, rng = secrets.encoder(secrets.VOCABULARY), random.Random(11)
-    found = lambda text: [text[a:b] for a, b, _ in secrets.random_spans(text, bpe)]
-    keys = ["".join(rng.choices(string.ascii_letters, k=24)) for _ in range(50)]
-    assert sum(found(f"key {k} end") == [k] for k in keys) >= 48
-    behind = 0
-    for _ in range(50):
-        key = "".join(rng.choices(string.ascii_letters + string.digits, k=20))
-        behind += any(s.endswith(key) for s in found(f"see com/users/account/settings/{key} end"))
-    assert behind >= 45
-    for plain in ("internationalization", "getUserAccountSettings", "com/users/account/settings/profile", "SOME_LONG_CONSTANT_NAME", "-" * 40, "1234567890123456789"):
-        assert found(plain) == []
-    assert not secrets.known_form("a" * 5000 + "Ab")
-
-
 def test_evidence_of_whole_items(spark, tmp_path):
     d = _documents(spark, tmp_path, ["x " * 9 + "g h i Jé, k l y", "a b c d e f", "z one, two z", "one twofold", "b c d e f", ""])
     spark.createDataFrame([(1, "a b c d e f g h i je k l"), (2, "One two"), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
