@@ -7,8 +7,11 @@ the nodes' signatures make buckets. Within a bucket only star edges centre-membe
 their number is linear in the bucket. Edges are confirmed on full sets. As a star may miss a link
 between two members that the centre lacks, buckets whose members lie in several components after the
 first round are revisited: the members outside the centre's component meet the bucket's members of
-other components in bounded blocks. A pair leaves its block only if an exact bound on its overlap, from
-the shingles counted by hash cell, doesn't rule the link out; then full sets decide. No cap drops a pair.
+other components in one block, if the bucket holds at most BLOCK members. The members of larger buckets
+meet where they share one of their rarest shingles, of which each text takes so many that texts as similar
+as asked must share one; work thus grows with the sharing of rare shingles, not with the square of a bucket.
+A pair leaves its block only if an exact bound on its overlap, from the shingles counted by hash cell,
+doesn't rule the link out; then full sets decide. No cap drops a pair.
 
 Defined results: null, empty or white-space text: n_shingles 0, linked with nothing. Rows that share
 a doc_id are one document and are linked. A null doc_id is linked with nothing: component_id null,
@@ -26,7 +29,7 @@ from loomgraph.llm.shingles import mix, shingle_hashes, word_hashes
 
 BANDS, ROWS = 32, 5
 _SLICE = 1 << 20
-#: Hash cells of a text's profile, and rows of either side of a block of pairs.
+#: Hash cells of a text's profile; members of a bucket that is one block, and rows of either side of a block.
 CELLS, BLOCK = 256, 2048
 
 
@@ -180,12 +183,13 @@ def _profiles(width: int, bands: int, rows: int):
     return run
 
 
-def _survivors(percent: int):
-    """Of each block of a bucket (rows sorted by band, i, j), the pairs outside-member that differ in component, may be
-    similar enough by length and by their cells (a proof, not an estimate), and share no earlier band."""
+def _survivors(percent: int, banded: bool):
+    """Of each block of a group (rows sorted by key, i, j), the pairs outside-member that differ in component and may be
+    similar enough by length and by their cells (a proof, not an estimate). banded: keys are bands, and a pair counts
+    in its first shared band alone."""
 
     def compare(rows) -> list[tuple[int, int]]:
-        band = rows["band"][0]
+        key = rows["key"][0]
         n, ids, comp = rows["n"], rows["id"], rows["component"]
         cells = [np.frombuffer(c, np.uint8 if len(c) == CELLS else np.uint32) for c in rows["cells"]]
         wide = any(c.dtype != np.uint8 for c in cells)
@@ -199,24 +203,25 @@ def _survivors(percent: int):
             total = n[y] + n[x]
             most = (total - np.abs(cells[y] - cells[x]).sum(axis=1)) // 2
             y = y[100 * most >= percent * (total - most)]
+            if banded and len(y):
+                y = y[keys[x][(keys[y] == keys[x]).argmax(axis=1)] == key]
             if len(y):
-                y = y[keys[x][(keys[y] == keys[x]).argmax(axis=1)] == band]
                 out += [(min(ids[x], ids[k]), max(ids[x], ids[k])) for k in y]
         return out
 
     def run(batches):
         import pyarrow as pa
 
-        names, held = ["band", "i", "j", "outside", "id", "n", "component", "cells", "keys"], None
+        names, held = ["key", "i", "j", "outside", "id", "n", "component", "cells", "keys"], None
 
         def columns(t):
             return {c: np.array(t.column(c).to_pylist(), object) if c in ("cells", "keys") else t.column(c).to_numpy(zero_copy_only=False) for c in names}
 
         def done(t):
             c = columns(t)
-            cut = np.flatnonzero((np.diff(c["band"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)) + 1
+            cut = np.flatnonzero((np.diff(c["key"]) != 0) | (np.diff(c["i"]) != 0) | (np.diff(c["j"]) != 0)) + 1
             pairs = []
-            for lo, hi in zip(np.r_[0, cut], np.r_[cut, len(c["band"])], strict=True):
+            for lo, hi in zip(np.r_[0, cut], np.r_[cut, len(c["key"])], strict=True):
                 pairs += compare({k: v[lo:hi] for k, v in c.items()})
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
@@ -236,24 +241,50 @@ def _survivors(percent: int):
     return run
 
 
+def _rarest(who: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(key, id, n): of each text of who its rarest shingles, by their number of texts. Of n shingles, similar texts
+    share at least percent in a hundred, so each text needs only the first of the rest and one more; a shingle of a single
+    text takes its place among them but isn't returned."""
+    texts = docs.join(small_side(who), docs["doc_id"] == who["id"], "left_semi")
+    each = texts.mapInArrow(_sets(width), "id long, set array<long>").select("id", F.size("set").alias("n"), F.xxhash64("set").alias("of"), F.explode("set").alias("key"))
+    often = each.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    ranked = each.join(often, "key").groupBy("id", "of", "n").agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("s"))
+    single = F.col("n") - F.size("s")
+    most = F.col("n") - F.call_function("div", percent * F.col("n") + 99, F.lit(100)).cast("int") + 1 - single
+    return ranked.select("id", "n", F.explode(F.slice("s", F.lit(1), F.greatest(most, F.lit(0)))).alias("s")).select("s.key", "id", F.col("n").cast("long").alias("n")).distinct()
+
+
+def _in_blocks(groups: DataFrame, docs: DataFrame, width: int, percent: int, bands: int, rows: int, banded: bool) -> DataFrame:
+    """Possible links (a, b) within groups (key, id, n, component, home, m): of each group of m members those outside the
+    component `home` meet all of other components, in blocks of at most about BLOCK by BLOCK."""
+    groups = materialise(groups)
+    ids = materialise(groups.select("id").distinct())
+    side = docs.join(small_side(ids), docs["doc_id"] == ids["id"], "left_semi").mapInArrow(_profiles(width, bands, rows), "id long, cells binary, keys binary")
+    blocks = F.call_function("div", F.col("m") + BLOCK - 1, F.lit(BLOCK)).cast("int")
+    mine, all_ = F.pmod(F.xxhash64("id"), blocks).cast("int"), F.sequence(F.lit(0), blocks - 1)
+    keep = ["key", "id", "n", "component"]
+    left = groups.filter("component <> home").select(*keep, F.lit(True).alias("outside"), mine.alias("i"), F.explode(all_).alias("j"))
+    right = groups.select(*keep, F.lit(False).alias("outside"), mine.alias("j"), F.explode(all_).alias("i"))
+    both = left.unionByName(right).join(side, "id").select("key", "i", "j", "outside", "id", "n", "component", "cells", "keys")
+    both = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return both.mapInArrow(_survivors(percent, banded), "a long, b long").distinct()
+
+
 def _untested(shared: DataFrame, found: DataFrame, docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
     """Pairs (a, b) within a bucket, of different components, that no star edge has tested and that may be links.
 
-    The members outside the centre's component meet all others in blocks of at most BLOCK by BLOCK, so a
-    bucket of any size is many bounded tasks; only pairs that pass exact bounds leave a block."""
+    Buckets of at most BLOCK members are one block each. The members of larger ones are grouped by their rarest
+    shingles instead; a shingle that more than BLOCK of them have among their rarest is several blocks."""
     placed = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max(F.when(F.col("id") == F.col("a"), F.col("component"))).alias("home"), F.count("*").alias("m")).filter("least <> most").select("band", "home", "m")
-    placed = materialise(placed.join(split, "band").filter("id <> a"))
-    ids = materialise(placed.select("id").distinct())
-    side = docs.join(small_side(ids), docs["doc_id"] == ids["id"], "left_semi").mapInArrow(_profiles(width, bands, rows), "id long, cells binary, keys binary")
-    blocks = F.call_function("div", F.col("m") + BLOCK - 1, F.lit(BLOCK)).cast("int")
-    mine, all_ = F.pmod(F.xxhash64("id"), blocks).cast("int"), F.sequence(F.lit(0), blocks - 1)
-    keep = ["band", "id", "n", "component"]
-    left = placed.filter("component <> home").select(*keep, F.lit(True).alias("outside"), mine.alias("i"), F.explode(all_).alias("j"))
-    right = placed.select(*keep, F.lit(False).alias("outside"), mine.alias("j"), F.explode(all_).alias("i"))
-    both = left.unionByName(right).join(side, "id").select("band", "i", "j", "outside", "id", "n", "component", "cells", "keys")
-    both = both.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return both.mapInArrow(_survivors(percent), "a long, b long").distinct()
+    placed = materialise(placed.join(split, "band").filter("id <> a").withColumnRenamed("band", "key"))
+    few = _in_blocks(placed.filter(F.col("m") <= BLOCK), docs, width, percent, bands, rows, True)
+    who = materialise(placed.filter(F.col("m") > BLOCK).select("id", "component").distinct())
+    if not who.head(1):
+        return few
+    rare = materialise(_rarest(who, docs, width, percent).join(who, "id"))
+    apart = rare.groupBy("key").agg(F.min("component").alias("home"), F.max("component").alias("most"), F.count("*").alias("m")).filter("home <> most").drop("most")
+    return few.union(_in_blocks(rare.join(apart, "key"), docs, width, percent, bands, rows, False)).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

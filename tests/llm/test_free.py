@@ -219,3 +219,29 @@ def test_long_words_take_linear_time():
         secrets.known_form(text[:200_000])
     assert secrets.known_form("1" * 60 + "Ab" * 1) is False and time.perf_counter() - at < 60
     assert [text[a:b] for text in ["see x.y+z@mail.site.org, or a@b@c.de"] for a, b in pii._emails(text)] == ["x.y+z@mail.site.org", "b@c.de"]
+
+
+def template_texts(n):
+    """Texts that share a long passage and differ in the rest, more or less: many fall in one bucket, few are linked."""
+    rng = random.Random(9)
+    common = [f"c{k}" for k in range(60)]
+    rows = []
+    for i in range(n):
+        tail = [f"v{rng.randrange(60)}" for _ in range(rng.choice((3, 8, 20, 30)))]
+        if i % 5 == 4:
+            tail = rows[rng.randrange(len(rows))][1].split()[60:]
+            tail[rng.randrange(len(tail))] = f"v{rng.randrange(60)}"
+        rows.append((i, " ".join(common + tail), "en", "a"))
+    return rows
+
+
+def test_buckets_larger_than_a_block_lose_no_link(spark, monkeypatch):
+    rows = template_texts(400) + [(3, "c1 c2 c3", "en", "b")]
+    seen = []
+    rarest = near_dedup._rarest
+    monkeypatch.setattr(near_dedup, "_rarest", lambda *a: seen.append(1) or rarest(*a))
+    for block in (4, 64, 4096):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOCS), 2).collect()}
+        assert got == {i: c for i, (_, c) in brute(rows[:-1], 2, 80).items()}
+    assert len(seen) == 2
