@@ -36,7 +36,9 @@ def _positions(turns: DataFrame) -> DataFrame:
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """conv_id, n, x, y: length and two running hashes of each prefix of each conversation."""
-    one, two = F.xxhash64(F.lit(1), "at", "role", "text"), F.xxhash64(F.lit(2), "at", "text", "role")
+    # a hash passes over nulls, so which of the two is null goes in as well
+    none = F.concat(F.isnull("role").cast("string"), F.isnull("text").cast("string"))
+    one, two = F.xxhash64(F.lit(1), "at", none, "role", "text"), F.xxhash64(F.lit(2), "at", none, "text", "role")
     t = turns.select("conv_id", "block", "at", one.alias("h1"), two.alias("h2"))
     inside = Window.partitionBy("conv_id", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("r1", F.bit_xor("h1").over(inside)).withColumn("r2", F.bit_xor("h2").over(inside))

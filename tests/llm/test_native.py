@@ -108,3 +108,9 @@ def test_runs_of_any_length_are_canonicalised(spark):
     long = "see " + "Maria " * 60_000 + "and " + "1" + ".1" * 60_000 + " apples"
     got = spark.createDataFrame([(1, long)], "doc_id long, text string").select(decontaminate.canonical(F.col("text")).alias("t")).first()["t"]
     assert got == ["see", "zqname", "and", "zqnum", "apples"]
+
+
+def test_a_null_role_is_no_null_text(spark):
+    rows = [(1, 0, None, "x"), (2, 0, "x", None), (2, 1, "a", "b"), (3, 0, None, "x"), (3, 1, "a", "c"), (4, 0, "u", None), (5, 0, "u", ""), (5, 1, "a", "d")]
+    got = chat.chat_documents(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    assert sorted(r["conv_id"] for r in got.collect()) == [2, 3, 4, 5]
