@@ -116,7 +116,7 @@ def shard_digest(docs: DataFrame, shards: int = 8) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """docs with shard and slot added (shard_ and slot_ where those names are taken), all columns kept.
+    """docs with shard and slot added (_shard and _slot where those names are taken), all columns kept.
 
     One exchange moves the rows; the bucket comes from doc_id and a hash of all columns, so rows that share
     a doc_id spread. Rows are ranked in their bucket by doc_id, then by that hash; rows that are equal in all
