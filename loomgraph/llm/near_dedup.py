@@ -274,7 +274,8 @@ def _untested(shared: DataFrame, found: DataFrame, docs: DataFrame, width: int,
     """Pairs (a, b) within a bucket, of different components, that no star edge has tested and that may be links.
 
     Buckets of at most BLOCK members are one block each. The members of larger ones are grouped by their rarest
-    shingles instead; a shingle that more than BLOCK of them have among their rarest is several blocks."""
+    shingles instead. Where more than BLOCK of them have one shingle among their rarest, those members alone are
+    compared in their buckets after all, in several blocks."""
     placed = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max(F.when(F.col("id") == F.col("a"), F.col("component"))).alias("home"), F.count("*").alias("m")).filter("least <> most").select("band", "home", "m")
     placed = materialise(placed.join(split, "band").filter("id <> a").withColumnRenamed("band", "key"))
@@ -284,7 +285,14 @@ def _untested(shared: DataFrame, found: DataFrame, docs: DataFrame, width: int,
         return few
     rare = materialise(_rarest(who, docs, width, percent).join(who, "id"))
     apart = rare.groupBy("key").agg(F.min("component").alias("home"), F.max("component").alias("most"), F.count("*").alias("m")).filter("home <> most").drop("most")
-    return few.union(_in_blocks(rare.join(apart, "key"), docs, width, percent, bands, rows, False)).distinct()
+    apart = materialise(apart)
+    out = few.union(_in_blocks(rare.join(apart.filter(F.col("m") <= BLOCK), "key"), docs, width, percent, bands, rows, False))
+    # what shares a shingle that is rare to too many stays in its bucket, in blocks
+    hot = materialise(rare.join(apart.filter(F.col("m") > BLOCK).select("key"), "key").select("id").distinct())
+    if hot.head(1):
+        held = placed.filter(F.col("m") > BLOCK).join(small_side(hot), "id", "left_semi")
+        out = out.union(_in_blocks(held.select(*placed.columns), docs, width, percent, bands, rows, True))
+    return out.distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
