@@ -9,7 +9,8 @@ between two members that the centre lacks, buckets whose members lie in several
 first round are revisited: the members outside the centre's component meet the bucket's members of
 other components in one block, if the bucket holds at most BLOCK members. The members of larger buckets
 meet where they share one of their rarest shingles, of which each text takes so many that texts as similar
-as asked must share one; work thus grows with the sharing of rare shingles, not with the square of a bucket.
+as asked must share one, and the shorter of the two must hold it among a still smaller number; work thus grows
+with the sharing of rare shingles, not with the square of a bucket.
 A pair leaves its block only if an exact bound on its overlap, from the shingles counted by hash cell,
 doesn't rule the link out; then full sets decide. No cap drops a pair.
 
@@ -185,12 +186,12 @@ def _profiles(width: int, bands: int, rows: int):
 
 def _survivors(percent: int, banded: bool):
     """Of each block of a group (rows sorted by key, i, j), the pairs outside-member that differ in component and may be
-    similar enough by length and by their cells (a proof, not an estimate). banded: keys are bands, and a pair counts
-    in its first shared band alone."""
+    similar enough by length and by their cells (a proof, not an estimate), one of them at least being `near` and not
+    the longer. banded: keys are bands, and a pair counts in its first shared band alone."""
 
     def compare(rows) -> list[tuple[int, int]]:
         key = rows["key"][0]
-        n, ids, comp = rows["n"], rows["id"], rows["component"]
+        n, ids, comp, near = rows["n"], rows["id"], rows["component"], rows["near"]
         cells = [np.frombuffer(c, np.uint8 if len(c) == CELLS else np.uint32) for c in rows["cells"]]
         wide = any(c.dtype != np.uint8 for c in cells)
         cells = np.stack(cells).astype(np.int64 if wide else np.int16)
@@ -200,6 +201,7 @@ def _survivors(percent: int, banded: bool):
         for x in left:
             y = right[comp[right] != comp[x]]
             y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
+            y = y[(near[x] & (n[x] <= n[y])) | (near[y] & (n[y] <= n[x]))]
             total = n[y] + n[x]
             most = (total - np.abs(cells[y] - cells[x]).sum(axis=1)) // 2
             y = y[100 * most >= percent * (total - most)]
@@ -212,7 +214,7 @@ def _survivors(percent: int, banded: bool):
     def run(batches):
         import pyarrow as pa
 
-        names, held = ["key", "i", "j", "outside", "id", "n", "component", "cells", "keys"], None
+        names, held = ["key", "i", "j", "outside", "id", "n", "component", "near", "cells", "keys"], None
 
         def columns(t):
             return {c: np.array(t.column(c).to_pylist(), object) if c in ("cells", "keys") else t.column(c).to_numpy(zero_copy_only=False) for c in names}
@@ -242,30 +244,39 @@ def _survivors(percent: int, banded: bool):
 
 
 def _rarest(who: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, id, n): of each text of who its rarest shingles, by their number of texts. Of n shingles, similar texts
+    """(key, id, n, near): of each text of who its rarest shingles, by their number of texts. Of n shingles, similar texts
     share at least percent in a hundred, so each text needs only the first of the rest and one more; a shingle of a single
-    text takes its place among them but isn't returned."""
+    text takes its place among them but isn't returned.
+
+    With a partner that isn't shorter, a text of n shingles shares at least 2 * percent * n / (100 + percent), so the first
+    shingle that the two share stands so much earlier in the text: `near` marks those places."""
     texts = docs.join(small_side(who), docs["doc_id"] == who["id"], "left_semi")
-    each = texts.mapInArrow(_sets(width), "id long, set array<long>").select("id", F.size("set").alias("n"), F.xxhash64("set").alias("of"), F.explode("set").alias("key"))
+    each = texts.mapInArrow(_sets(width), "id long, set array<long>").select("id", F.size("set").cast("long").alias("n"), F.xxhash64("set").alias("of"), F.explode("set").alias("key"))
     often = each.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     ranked = each.join(often, "key").groupBy("id", "of", "n").agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("s"))
     single = F.col("n") - F.size("s")
-    most = F.col("n") - F.call_function("div", percent * F.col("n") + 99, F.lit(100)).cast("int") + 1 - single
-    return ranked.select("id", "n", F.explode(F.slice("s", F.lit(1), F.greatest(most, F.lit(0)))).alias("s")).select("s.key", "id", F.col("n").cast("long").alias("n")).distinct()
+    most = (F.col("n") - F.call_function("div", percent * F.col("n") + 99, F.lit(100)) + 1 - single).cast("int")
+    places = ranked.select("id", "n", single.alias("single"), F.posexplode(F.slice("s", F.lit(1), F.greatest(most, F.lit(0)))).alias("at", "s"))
+    near = F.col("single") + F.col("at") + 1 <= F.col("n") - F.call_function("div", 2 * percent * F.col("n") + 99 + percent, F.lit(100 + percent)) + 1
+    return places.select("s.key", "id", "n", near.alias("near")).distinct()
 
 
 def _in_blocks(groups: DataFrame, docs: DataFrame, width: int, percent: int, bands: int, rows: int, banded: bool) -> DataFrame:
-    """Possible links (a, b) within groups (key, id, n, component, home, m): of each group of m members those outside the
-    component `home` meet all of other components, in blocks of at most about BLOCK by BLOCK."""
+    """Possible links (a, b) within groups (key, id, n, component, near, home, m, far): of each group of m members those
+    outside the component `home` meet all of other components, in blocks of at most about BLOCK by BLOCK. Members that
+    aren't near meet only those that are; far: whether the group has such members."""
     groups = materialise(groups)
     ids = materialise(groups.select("id").distinct())
     side = docs.join(small_side(ids), docs["doc_id"] == ids["id"], "left_semi").mapInArrow(_profiles(width, bands, rows), "id long, cells binary, keys binary")
     blocks = F.call_function("div", F.col("m") + BLOCK - 1, F.lit(BLOCK)).cast("int")
     mine, all_ = F.pmod(F.xxhash64("id"), blocks).cast("int"), F.sequence(F.lit(0), blocks - 1)
-    keep = ["key", "id", "n", "component"]
-    left = groups.filter("component <> home").select(*keep, F.lit(True).alias("outside"), mine.alias("i"), F.explode(all_).alias("j"))
-    right = groups.select(*keep, F.lit(False).alias("outside"), mine.alias("j"), F.explode(all_).alias("i"))
-    both = left.unionByName(right).join(side, "id").select("key", "i", "j", "outside", "id", "n", "component", "cells", "keys")
+    keep = ["key", "id", "n", "component", "near"]
+    # near ones have the blocks before `blocks`, the others those from there on
+    mine_or_later = mine + F.when(F.col("near"), 0).otherwise(blocks)
+    left = groups.filter("component <> home").select(*keep, F.lit(True).alias("outside"), mine_or_later.alias("i"), F.explode(all_).alias("j"))
+    met = F.sequence(F.lit(0), F.when(F.col("near") & F.col("far"), 2 * blocks).otherwise(blocks) - 1)
+    right = groups.select(*keep, F.lit(False).alias("outside"), mine.alias("j"), F.explode(met).alias("i"))
+    both = left.unionByName(right).join(side, "id").select("key", "i", "j", "outside", "id", "n", "component", "near", "cells", "keys")
     both = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return both.mapInArrow(_survivors(percent, banded), "a long, b long").distinct()
 
@@ -274,18 +285,20 @@ def _untested(shared: DataFrame, found: DataFrame, docs: DataFrame, width: int,
     """Pairs (a, b) within a bucket, of different components, that no star edge has tested and that may be links.
 
     Buckets of at most BLOCK members are one block each. The members of larger ones are grouped by their rarest
-    shingles instead. Where more than BLOCK of them have one shingle among their rarest, those members alone are
-    compared in their buckets after all, in several blocks."""
+    shingles instead; a shingle that is near to none of them can't be the first that two similar texts share. Where
+    more than BLOCK of them have another one among their rarest, those members alone are compared in their buckets
+    after all, in several blocks."""
     placed = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max(F.when(F.col("id") == F.col("a"), F.col("component"))).alias("home"), F.count("*").alias("m")).filter("least <> most").select("band", "home", "m")
-    placed = materialise(placed.join(split, "band").filter("id <> a").withColumnRenamed("band", "key"))
+    placed = placed.join(split, "band").filter("id <> a").withColumnRenamed("band", "key")
+    placed = materialise(placed.withColumns({"near": F.lit(True), "far": F.lit(False)}))
     few = _in_blocks(placed.filter(F.col("m") <= BLOCK), docs, width, percent, bands, rows, True)
     who = materialise(placed.filter(F.col("m") > BLOCK).select("id", "component").distinct())
     if not who.head(1):
         return few
     rare = materialise(_rarest(who, docs, width, percent).join(who, "id"))
-    apart = rare.groupBy("key").agg(F.min("component").alias("home"), F.max("component").alias("most"), F.count("*").alias("m")).filter("home <> most").drop("most")
-    apart = materialise(apart)
+    apart = rare.groupBy("key").agg(F.min("component").alias("home"), F.max("component").alias("most"), F.count("*").alias("m"), F.bool_or("near").alias("any_near"), F.bool_or(~F.col("near")).alias("far"))
+    apart = materialise(apart.filter("home <> most and any_near").drop("most", "any_near"))
     out = few.union(_in_blocks(rare.join(apart.filter(F.col("m") <= BLOCK), "key"), docs, width, percent, bands, rows, False))
     # what shares a shingle that is rare to too many stays in its bucket, in blocks
     hot = materialise(rare.join(apart.filter(F.col("m") > BLOCK).select("key"), "key").select("id").distinct())

@@ -245,3 +245,24 @@ def test_buckets_larger_than_a_block_lose_no_link(spark, monkeypatch):
         got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOCS), 2).collect()}
         assert got == {i: c for i, (_, c) in brute(rows[:-1], 2, 80).items()}
     assert len(seen) == 2
+
+
+def test_similar_texts_meet_at_a_rare_shingle_near_to_the_shorter(spark):
+    rows = template_texts(300)
+    docs = spark.createDataFrame(rows, DOCS)
+    at = {}
+    for r in near_dedup._rarest(docs.select(F.col("doc_id").alias("id")), docs, 2, 80).collect():
+        at.setdefault(r["id"], {})[r["key"]] = r["near"]
+    sets = {i: {tuple(w[k : k + 2]) for k in range(len(w) - 1)} for i, w in ((i, t.split()) for i, t, *_ in rows)}
+    met = pairs = 0
+    for i, x in sets.items():
+        for j, y in sets.items():
+            if i < j and x != y and 100 * len(x & y) >= 80 * len(x | y):
+                a, b = sorted((i, j), key=lambda k: len(sets[k]))
+                both = [k for k in at[a].keys() & at[b].keys() if at[a][k]]
+                met, pairs = met + bool(both), pairs + 1
+    assert met == pairs > 300
+    # texts that share seven words in ten: the shingles that all of them hold are near to none
+    rows = [(i, " ".join([*(f"c{k}" for k in range(80)), *(f"own{i}x{k}" for k in range(17))]), "en", "a") for i in range(200)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert near_dedup._rarest(docs.select(F.col("doc_id").alias("id")), docs, 2, 80).filter("near").count() == 0
