@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from loomgraph.functions import text as T
 
 CHUNK = "id string, source_id string, chunk_index int, page int, chapter string, section string, kind string, text string"
 STEP = "dag string, dag_kind string, at int, ord int, node string, node_type string, step_type string, condition string, note string"
+#: Pages that leave a reader at once.
+FRAME = 500
 TREE = "code string, name string, level int, parent string"
 
 
@@ -74,8 +77,13 @@ def write_chunks(chunks: DataFrame, folder: str) -> None:
 
 def write_files(rows: DataFrame, folder: str, suffix: str) -> None:
     """A text file <name><suffix> for each row (name, value)."""
+    _write_named(rows.select("name", "value"), folder, suffix, "\n")
+
+
+def _write_named(rows: DataFrame, folder: str, suffix: str, mark: str) -> None:
+    """The rows (name, value) of each name in a file <name><suffix>, each closed by the mark; one name is in one partition."""
     root, spark = folder.rstrip("/"), rows.sparkSession
-    rows.select("name", "value").write.mode("overwrite").partitionBy("name").text(f"{root}/_parts")
+    rows.write.mode("overwrite").option("lineSep", mark).partitionBy("name").text(f"{root}/_parts")
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     for s in fs.globStatus(path(f"{root}/_parts/name=*/part-*")) or []:
@@ -93,9 +101,16 @@ def write_json(df: DataFrame, path: str, by: str | None = None) -> None:
 # --- pages -------------------------------------------------------------------------------------
 
 
+def _cleaned(pages: DataFrame, least: int, old: bool) -> DataFrame:
+    """pages cleaned, those of more than `least` characters; each text is cleaned once, for the rule and the result."""
+    clean = T.clean_page_v1(F.col("text")) if old else T.clean_page(F.col("text"))
+    return pages.select("source_id", "page", F.explode(F.filter(F.array(clean), lambda t: F.length(F.trim(t)) > least)).alias("text"))
+
+
 def read_pages(spark: SparkSession, glob: str, pages_of: Callable[[bytes], Iterable[str]], least: int = 20, old: bool = False) -> DataFrame:
     """source_id, page (from 1), text of each file: a reader of the format gives its pages, cleaning and the
-    rule that a page has more than `least` characters are ours. old: the older cleaning."""
+    rule that a page has more than `least` characters are ours. old: the older cleaning. A file is read whole, as its
+    reader needs it; its pages leave in frames of FRAME."""
 
     def run(frames):
         import pandas as pd
@@ -103,12 +118,34 @@ def read_pages(spark: SparkSession, glob: str, pages_of: Callable[[bytes], Itera
         for pdf in frames:
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
                 ident = name.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-                texts = list(pages_of(bytes(content)))
-                yield pd.DataFrame({"source_id": [ident] * len(texts), "page": range(1, len(texts) + 1), "text": texts})
+                pages, at = iter(pages_of(bytes(content))), 1
+                while texts := list(islice(pages, FRAME)):
+                    yield pd.DataFrame({"source_id": [ident] * len(texts), "page": range(at, at + len(texts)), "text": texts})
+                    at += len(texts)
 
     raw = spark.read.format("binaryFile").load(glob).select("path", "content").mapInPandas(run, "source_id string, page int, text string")
-    clean = T.clean_page_v1(F.col("text")) if old else T.clean_page(F.col("text"))
-    return raw.withColumn("text", clean).filter(F.length(F.trim("text")) > least)
+    return _cleaned(raw, least, old)
+
+
+def write_text_pages(pages: DataFrame, folder: str, mark: str = "\f") -> None:
+    """A file <name>.txt for each name of pages (name, at, value), its pages by `at`, each closed by the mark. Rows are
+    sorted and streamed out, so no file is in memory."""
+    # a name that may be null would be sorted again, by itself alone
+    rows = pages.select(F.coalesce("name", F.lit("")).alias("name"), "at", "value")
+    _write_named(rows.repartition("name").sortWithinPartitions("name", "at").select("name", "value"), folder, ".txt", mark)
+
+
+def read_text_pages(spark: SparkSession, glob: str, mark: str = "\f", least: int = 20, old: bool = False) -> DataFrame:
+    """What read_pages gives, of text files whose pages are closed by a mark of one byte: Spark splits these files, so
+    neither memory nor a task grows with a file. A page's number is its place in its part of the file (rows of a part are
+    numbered one after the other) behind the pages of the parts before."""
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    rows = spark.read.option("lineSep", mark).text(glob).select(name.alias("source_id"), F.col("_metadata.file_block_start").alias("_part"), F.monotonically_increasing_id().alias("_at"), F.col("value").alias("text"))
+    parts = rows.groupBy("source_id", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("source_id").orderBy("_part")) - F.col("_n")
+    parts = parts.select("source_id", "_part", (before - F.col("_first") + 1).alias("_shift"))
+    raw = rows.join(F.broadcast(parts), ["source_id", "_part"]).select("source_id", (F.col("_at") + F.col("_shift")).cast("int").alias("page"), "text")
+    return _cleaned(raw, least, old)
 
 
 # --- configuration -----------------------------------------------------------------------------
