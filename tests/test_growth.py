@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as T
+from loomgraph.operators import chunking as C
 from loomgraph.sources import files
 
 
@@ -34,3 +35,16 @@ def test_pages_of_a_split_file_keep_their_numbers(spark, tmp_path):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert got == {(n, i): t for n, ts in texts.items() for i, t in enumerate(ts, 1) if i != 7}
+
+
+def test_many_books_share_a_batch_and_one_book_may_span_several(spark):
+    small = spark.range(20000).select(F.col("id").alias("source_id"), F.lit(1).alias("page"), F.lit(0).alias("seq"), F.lit("one line, no more.").alias("text"), F.lit("c").alias("chapter"), F.lit("s").alias("section"))
+    lines = spark.range(30000).select(F.lit(-1).cast("long").alias("source_id"), (F.col("id") + 1).cast("int").alias("page"), F.lit(0).alias("seq"), F.concat(F.lit("w"), F.col("id")).alias("text"), F.when(F.col("id") == 0, "first").alias("chapter"), F.lit(None).cast("string").alias("section"))
+    C.chunk_books(small.limit(1)).collect()
+    at = time.time()
+    got = C.chunk_books(small.unionAll(lines.orderBy(F.desc("page")))).collect()
+    assert time.time() - at < 25
+    assert {(r["source_id"], r["text"], r["chapter"]) for r in got if r["source_id"] >= 0} == {(i, "one line, no more.", "c") for i in range(20000)}
+    long = sorted((r for r in got if r["source_id"] < 0), key=lambda r: r["chunk_index"])
+    want = C.cut([f"w{i}" for i in range(30000)])
+    assert [(r["start"], r["end"], r["page_start"], r["page_end"], r["chapter"], r["section"]) for r in long] == [(c.start, c.last(), c.start + 1, c.last(), "first" if c.start == 0 else None, None) for c in want]
