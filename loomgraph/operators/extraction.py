@@ -136,45 +136,53 @@ def relation_motive(tax: Taxonomy, need_evidence: bool = True) -> Column:
     """Why a relation is refused, or null. Columns: src, relation, dst (normalised), src_type, dst_type, evidence (raw),
     src_synonyms, dst_synonyms, fragment (folded). `silencio` is a blank that nobody counts."""
     src, rel, dst, st, dt, frag = (F.col(c) for c in ("src", "relation", "dst", "src_type", "dst_type", "fragment"))
-    classes = tax.class_names()
-    ev = T.fold_key(F.coalesce("evidence", F.lit("")))
-    ev_toks, toks = F.split(ev, " "), F.split(frag, " ")
-    none = F.array().cast("array<string>")
-    ends = lambda n, syn: appears(T.fold_key(n), ev) | F.exists(F.coalesce(syn, none), lambda s: appears(T.fold_key(s), ev))
-    share = F.size(F.filter(ev_toks, lambda w: F.array_contains(toks, w))) / F.size(ev_toks)
-    inverted, negated = F.lit(False), F.lit(False)
-    for r in tax.relations.values():
-        fits = lambda a, b, r=r: (a.isin(*r.sources) if r.sources else F.lit(True)) & (b.isin(*r.targets) if r.targets else F.lit(True))
-        inverted = inverted | ((rel == r.name) & st.isNotNull() & dt.isNotNull() & ~fits(st, dt) & fits(dt, st))
-        negated = negated | ((rel == r.name) & denied(ev, r))
-    out = (
-        F.when((src == "") | (dst == "") | (rel == ""), "silencio")
-        .when(~rel.isin(*tax.relations), "tipo_relacion")
-        .when(src == dst, "extremos_iguales")
-        .when(T.fold_key(src).isin(*classes) | T.fold_key(dst).isin(*classes), "nombre_de_tipo")
-        .when(st.isNull() & dt.isNull(), "extremo_ausente")
-        .when(inverted, "orientacion")
-    )
-    if need_evidence:
-        with_text = frag != ""
+    classes, none = tax.class_names(), F.array().cast("array<string>")
+
+    def told(v: Column) -> Column:
+        ev, toks = v["ev"], F.split(v["ev"], " ")
+        ends = lambda n, syn: appears(n, ev) | F.exists(F.coalesce(syn, none), lambda s: appears(T.fold_key(s), ev))
+        # folded words have one blank between them
+        spaced = lambda x: F.concat(F.lit(" "), x, F.lit(" "))
+        share = F.size(F.filter(toks, lambda w: F.contains(spaced(frag), spaced(w)))) / F.size(toks)
+        inverted, negated = F.lit(False), F.lit(False)
+        for r in tax.relations.values():
+            fits = lambda a, b, r=r: (a.isin(*r.sources) if r.sources else F.lit(True)) & (b.isin(*r.targets) if r.targets else F.lit(True))
+            inverted = inverted | ((rel == r.name) & st.isNotNull() & dt.isNotNull() & ~fits(st, dt) & fits(dt, st))
+            negated = negated | ((rel == r.name) & denied(ev, r))
         out = (
-            out.when(with_text & (ev == ""), "sin_evidencia_relacion")
-            .when(with_text & (F.length(ev) > 240), "evidencia_larga")
-            .when(with_text & F.trim("evidence").rlike(r"[.!?]\s+\S"), "evidencia_dos_oraciones")
-            .when(with_text & ~F.contains(frag, ev) & ~((F.size(ev_toks) >= 3) & (share >= 0.85)), "evidencia_ajena")
-            .when(with_text & ~(ends(src, F.col("src_synonyms")) & ends(dst, F.col("dst_synonyms"))), "evidencia_incompleta")
-            .when(with_text & negated, "polaridad")
+            F.when((src == "") | (dst == "") | (rel == ""), "silencio")
+            .when(~rel.isin(*tax.relations), "tipo_relacion")
+            .when(src == dst, "extremos_iguales")
+            .when(v["src"].isin(*classes) | v["dst"].isin(*classes), "nombre_de_tipo")
+            .when(st.isNull() & dt.isNull(), "extremo_ausente")
+            .when(inverted, "orientacion")
         )
-    return out
+        if need_evidence:
+            with_text = frag != ""
+            out = (
+                out.when(with_text & (ev == ""), "sin_evidencia_relacion")
+                .when(with_text & (F.length(ev) > 240), "evidencia_larga")
+                .when(with_text & F.trim("evidence").rlike(r"[.!?]\s+\S"), "evidencia_dos_oraciones")
+                .when(with_text & ~F.contains(frag, ev) & ~((F.size(toks) >= 3) & (share >= 0.85)), "evidencia_ajena")
+                .when(with_text & ~(ends(v["src"], F.col("src_synonyms")) & ends(v["dst"], F.col("dst_synonyms"))), "evidencia_incompleta")
+                .when(with_text & negated, "polaridad")
+            )
+        return out
+
+    return T.bound({"ev": T.fold_key(F.coalesce("evidence", F.lit(""))), "src": T.fold_key(src), "dst": T.fold_key(dst)}, told)
 
 
 def validate_relations(raw: DataFrame, entities: DataFrame, tax: Taxonomy, need_evidence: bool = True) -> DataFrame:
-    """chunk_id, at, src, relation, dst, motive, illegal over raw (chunk_id, at, src, relation, dst, evidence, text) and the
-    validated entities. illegal: the types fit in neither direction, which is counted but not refused."""
+    """chunk_id, at, src, relation, dst, motive, illegal over raw (chunk_id, at, src, relation, dst, evidence, text, or the
+    folded fragment as `fragment`) and the validated entities. illegal: the types fit in neither direction, which is counted
+    but not refused. A chunk's entities are one map, so relations meet them in one join."""
     good = entities.filter("motive is null").groupBy("chunk_id", "name").agg(F.max_by("type", "at").alias("type"), F.max_by("synonyms", "at").alias("synonyms"))
-    x = raw.select("chunk_id", "at", *(T.entity_name(F.coalesce(c, F.lit(""))).alias(c) for c in ("src", "dst")), F.upper(F.trim(F.coalesce("relation", F.lit("")))).alias("relation"), "evidence", T.fold_key(F.left(F.coalesce("text", F.lit("")), F.lit(tax.fragment))).alias("fragment"))
+    known = good.groupBy("chunk_id").agg(F.map_from_entries(F.collect_list(F.struct("name", F.struct("type", "synonyms").alias("e")))).alias("_known"))
+    folded = F.col("fragment") if "fragment" in raw.columns else fragment(F.col("text"), tax)
+    x = raw.select("chunk_id", "at", *(T.entity_name(F.coalesce(c, F.lit(""))).alias(c) for c in ("src", "dst")), F.upper(F.trim(F.coalesce("relation", F.lit("")))).alias("relation"), "evidence", folded.alias("fragment"))
+    x = x.join(known, "chunk_id", "left")
     for end in ("src", "dst"):
-        x = x.join(good.select("chunk_id", F.col("name").alias(end), F.col("type").alias(f"{end}_type"), F.col("synonyms").alias(f"{end}_synonyms")), ["chunk_id", end], "left")
+        x = x.withColumn("_e", F.try_element_at("_known", F.col(end))).withColumns({f"{end}_type": F.col("_e")["type"], f"{end}_synonyms": F.col("_e")["synonyms"]})
     illegal = F.lit(False)
     for r in tax.relations.values():
         bad = F.lit(False)
@@ -234,22 +242,26 @@ def top_mentions(valid: DataFrame, most: int = 10) -> DataFrame:
 def relation_provenance(rows: DataFrame, cut: int = 240, blank_after: int = 12) -> DataFrame:
     """src, relation, dst, provenance (chunk, source, evidence; one for each chunk, in order; evidence blank beyond the 12th)."""
     per = Window.partitionBy("src", "relation", "dst", "chunk_id").orderBy("ord")
-    r = rows.withColumn("_at", F.row_number().over(per)).filter("_at = 1")
-    item = F.struct("ord", F.col("chunk_id").alias("chunk"), F.col("source_id").alias("source"), F.left("evidence", F.lit(cut)).alias("evidence"))
+    r = rows.withColumn("evidence", F.left("evidence", F.lit(cut))).withColumn("_at", F.row_number().over(per)).filter("_at = 1")
+    item = F.struct("ord", F.col("chunk_id").alias("chunk"), F.col("source_id").alias("source"), "evidence")
     g = r.groupBy("src", "relation", "dst").agg(F.array_sort(F.collect_list(item)).alias("p"))
     said = F.transform("p", lambda x, i: F.struct(x["chunk"].alias("chunk"), x["source"].alias("source"), F.when(i < blank_after, x["evidence"]).otherwise(F.lit("")).alias("evidence")))
     return g.select("src", "relation", "dst", said.alias("provenance"))
 
 
 def merge_provenance(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Idempotent by fragment: new entries replace those of their chunks, others stay before them; inherited marks go."""
+    """Idempotent by fragment: new entries replace those of their chunks, others stay before them; inherited marks go.
+    Which entries go is found by a join, as one edge may have very many."""
     a = old.select("src", "relation", "dst", F.col("provenance").alias("_old"), "inherited")
     b = new.select("src", "relation", "dst", F.col("provenance").alias("_new"))
     j = a.join(b, ["src", "relation", "dst"], "full_outer")
-    gone = F.transform("_new", lambda x: x["chunk"])
-    kept = F.filter("_old", lambda x: ~F.array_contains(gone, x["chunk"]))
+    by = ["src", "relation", "dst"]
+    gone = b.select(*by, F.explode("_new").alias("x")).select(*by, F.col("x")["chunk"].alias("_c"))
+    rest = a.select(*by, F.posexplode("_old").alias("at", "p")).withColumn("_c", F.col("p")["chunk"]).join(gone, [*by, "_c"], "left_anti")
+    rest = rest.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("at", "p"))).alias("x")).select(*by, F.transform("x", lambda y: y["p"]).alias("_kept"))
+    kept = F.coalesce("_kept", F.slice("_old", 1, 0))
     merged = F.when(F.col("_new").isNull(), F.col("_old")).when(F.col("_old").isNull(), F.col("_new")).otherwise(F.concat(kept, "_new"))
-    return j.select("src", "relation", "dst", merged.alias("provenance"), F.when(F.col("_new").isNull(), F.col("inherited")).otherwise(False).alias("inherited"))
+    return j.join(rest, by, "left").select(*by, merged.alias("provenance"), F.when(F.col("_new").isNull(), F.col("inherited")).otherwise(False).alias("inherited"))
 
 
 def purge_fragments(edges: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -409,9 +421,9 @@ def legacy_validate(entities: DataFrame, relations: DataFrame, types: list[str],
     end = lambda c: T.entity_name(F.coalesce(c, F.lit(""))).alias(c)
     r = relations.select("chunk_id", "at", end("src"), F.upper(F.trim(F.coalesce("relation", F.lit("")))).alias("relation"), end("dst"))
     r = r.filter((F.col("src") != "") & (F.col("dst") != "") & F.col("relation").isin(*kinds))
-    known = e.select("chunk_id", F.col("name").alias("_n")).distinct()
-    ends = r.select("chunk_id", "at", F.explode(F.array("src", "dst")).alias("_n")).join(known, ["chunk_id", "_n"], "left_semi").select("chunk_id", "at").distinct()
-    return e, r.join(ends, ["chunk_id", "at"], "left_semi")
+    known = e.groupBy("chunk_id").agg(F.collect_set("name").alias("_n"))
+    held = F.array_contains("_n", F.col("src")) | F.array_contains("_n", F.col("dst"))
+    return e, r.join(known, "chunk_id").filter(held).drop("_n")
 
 
 def distinct_in_order(rows: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def extraction_discards(spark, d):
 
 
 def _raw_relations(spark, d):
-    w = T.words(F.col("text"))
+    w = F.col("w")
     at = lambda i: F.get(w, F.lit(i))
     item = lambda k, a, r, b, e: F.struct(F.lit(k).alias("at"), a.alias("src"), F.lit(r).alias("relation"), b.alias("dst"), e.alias("evidence"))
     span, tool = F.array_join(F.slice(w, 3, 8), " "), F.concat(at(5), F.lit("xs"))
@@ -47,8 +47,8 @@ def _raw_relations(spark, d):
         item(0, at(3), "uses", tool, span), item(1, tool, "uses", at(3), span), item(2, at(3), "NOPE", tool, span), item(3, at(3), "uses", at(3), span),
         item(4, at(3), "part_of", tool, F.lit("nothing of this is in there")), item(5, at(3), "uses", F.lit(""), span), item(6, F.lit("ghost"), "uses", F.lit("spook"), span),
     )
-    x = read(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text", F.explode(rows).alias("r"))
-    return x.select("chunk_id", "text", "r.*")
+    x = read(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text", T.words(F.col("text")).alias("w"), X.fragment(F.col("text"), TAX).alias("fragment"))
+    return x.select("chunk_id", "text", "fragment", F.explode(rows).alias("r")).select("chunk_id", "text", "fragment", "r.*")
 
 
 def validate_relations(spark, d):
