@@ -68,10 +68,16 @@ def join_continuations(rows: Column) -> Column:
 
 def render_table(rows: Column) -> Column:
     """Each row under the header as `value (COLUMN); …` on a line of its own; empty with fewer than two of them or without a header."""
-    whole = join_continuations(rows)
-    head, data = F.get(whole, F.lit(0)), F.slice(whole, 2, F.greatest(F.size(whole) - 1, F.lit(0)))
-    said = F.array_join(F.transform(data, lambda r: T.render_row(r, head)), "\n")
-    return F.when((F.size(data) >= 2) & T.is_header_row(head), said).otherwise("")
+
+    def said(v: Column) -> Column:
+        lines_ = F.array_join(F.transform(v["data"], lambda r: T.render_row(r, v["head"])), "\n")
+        return F.when((F.size(v["data"]) >= 2) & T.is_header_row(v["head"]), lines_).otherwise("")
+
+    def parted(v: Column) -> Column:
+        whole = v["whole"]
+        return T.bound({"head": F.get(whole, F.lit(0)), "data": F.slice(whole, 2, F.greatest(F.size(whole) - 1, F.lit(0)))}, said)
+
+    return T.bound({"rows": rows}, lambda r: T.bound({"whole": join_continuations(r["rows"])}, parted))
 
 
 def page_text(blocks: DataFrame, tables: DataFrame, plain: DataFrame) -> DataFrame:
