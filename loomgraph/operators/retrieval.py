@@ -38,6 +38,21 @@ def _tokenised(docs: DataFrame, fields: list[str]) -> DataFrame:
     return docs.select("id", F.inline(both)).select("id", "field", T.tokens(F.col("text")).alias("t"))
 
 
+def term_counts(tokens: Column) -> Column:
+    """array of (term, tf) of a document's tokens: they are sorted, a term's count is the way to where the next one starts."""
+
+    def counted(v: Column) -> Column:
+        s, at = v["s"], v["at"]
+        return F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("long").alias("tf")))
+
+    def starts(v: Column) -> Column:
+        s = v["s"]
+        new = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
+        return T.bound({"s": s, "at": new}, counted)
+
+    return T.bound({"s": F.sort_array(tokens)}, starts)
+
+
 def _statistics(tokenised: DataFrame) -> DataFrame:
     """field, n, a: documents and their mean length."""
     return tokenised.groupBy("field").agg(F.count("*").alias("n"), F.avg(F.size("t")).alias("a"))
@@ -76,10 +91,11 @@ class Index:
 
     @staticmethod
     def build(docs: DataFrame, fields: list[str], path: str) -> Index:
-        t = stored(_tokenised(docs, fields))
-        rows = t.select("id", "field", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("field", "term", "id", "dl").agg(F.count("*").alias("tf"))
+        """Terms are counted within their document, so only finished postings are exchanged, once."""
+        t = stored(_tokenised(docs, fields).select("id", "field", F.size("t").alias("dl"), term_counts(F.col("t")).alias("c")))
+        rows = t.select("id", "field", "dl", F.inline("c")).select("field", "term", "id", "dl", "tf")
         rows.repartitionByRange("term", "id").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
-        _statistics(t).write.mode("overwrite").parquet(f"{path}/stats")
+        t.groupBy("field").agg(F.count("*").alias("n"), F.avg("dl").alias("a")).write.mode("overwrite").parquet(f"{path}/stats")
         return Index(docs.sparkSession, path)
 
     def bm25(self, terms: list[str], allowed: DataFrame | None = None) -> DataFrame:

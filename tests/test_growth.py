@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import text as T
 from loomgraph.operators import chunking as C
+from loomgraph.operators import extraction as X
+from loomgraph.operators import layout as L
+from loomgraph.operators import retrieval as R
 from loomgraph.sources import files
 
 
@@ -48,3 +51,28 @@ def test_many_books_share_a_batch_and_one_book_may_span_several(spark):
     long = sorted((r for r in got if r["source_id"] < 0), key=lambda r: r["chunk_index"])
     want = C.cut([f"w{i}" for i in range(30000)])
     assert [(r["start"], r["end"], r["page_start"], r["page_end"], r["chapter"], r["section"]) for r in long] == [(c.start, c.last(), c.start + 1, c.last(), "first" if c.start == 0 else None, None) for c in want]
+
+
+def test_term_counts_count_within_a_document(spark):
+    df = spark.createDataFrame([(["b", "a", "b", "ñ", "b"],), ([],), (["x"],)], "t array<string>")
+    got = [[(x["term"], x["tf"]) for x in r[0]] for r in df.select(R.term_counts(F.col("t"))).collect()]
+    assert got == [[("a", 1), ("b", 3), ("ñ", 1)], [], [("x", 1)]]
+
+
+def test_old_entries_of_a_long_provenance_give_way_in_proportion(spark):
+    n = 20000
+    entry = lambda e: F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct((i * e).cast("long").alias("chunk"), F.lit("s").alias("source"), F.lit(str(e)).alias("evidence")))
+    side = lambda e: spark.range(1).select(F.lit("a").alias("src"), F.lit("R").alias("relation"), F.lit("b").alias("dst"), entry(e).alias("provenance"))
+    at = time.time()
+    got = X.merge_provenance(side(1).withColumn("inherited", F.lit(True)), side(2)).first()
+    assert time.time() - at < 20 and not got["inherited"]
+    chunks = [p["chunk"] for p in got["provenance"]]
+    assert chunks == [i for i in range(1, n + 1) if i % 2] + [2 * i for i in range(1, n + 1)]
+
+
+def test_table_of_many_rows_is_rendered_in_proportion(spark):
+    rows = F.concat(F.array(F.array(F.lit("name"), F.lit("value"))), F.transform(F.sequence(F.lit(1), F.lit(1500)), lambda i: F.array(F.concat(F.lit("r"), i), F.concat(F.lit("v"), i))))
+    at = time.time()
+    text = spark.range(1).select(L.render_table(rows)).first()[0]
+    assert time.time() - at < 15
+    assert text.split("\n") == [f"r{i} (NAME); v{i} (VALUE)." for i in range(1, 1501)]
