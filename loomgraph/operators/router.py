@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.operators import graph as G
 from loomgraph.operators import retrieval as R
+from loomgraph.sources.files import stored
 
 # --- fixed values: what a question activates, and how its entities are typed, follows from exactly these ---
 PATHWAY_CUES = ("qué hago", "que hago", "cómo manejar", "como manejar", "ante un paciente", "manejo de")
@@ -194,13 +195,16 @@ def allowed_sources(guaranteed: list[str], requested: list[str] | None) -> list[
 def guaranteed_hybrid(general: list[DataFrame], restricted: list[DataFrame], pairs: list[tuple[int, int]], chunks: DataFrame, k: int, share: int | None = None, by: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(the k results, the pool): general rankings fused; restricted ones fused, kept where a raw score reaches the
     floor of its own route (pairs: general and restricted index), scored no lower than their general twin,
-    grouped like the rest, and given their share of places."""
+    grouped like the rest, and given their share of places. Rankings and the places of their rows are few, are read
+    many times and therefore stored: each route and all chunks are gone through once."""
+    general, restricted = [stored(r) for r in general], [stored(r) for r in restricted]
     fused = R.rrf(general).select("id", "rrf_score")
     mine = R.rrf(restricted).select("id", "rrf_score")
     mine = R.passes_floor(mine, [general[g] for g, _ in pairs], [restricted[r] for _, r in pairs])
     twin = fused.select("id", F.col("rrf_score").alias("_twin"))
     mine = mine.join(twin, "id", "left").select("id", F.greatest("rrf_score", "_twin").alias("rrf_score"))
-    place = chunks.select("id", "source_id", "page", "parent_id")
+    near = F.broadcast(fused.select("id").union(mine.select("id")).distinct())
+    place = stored(chunks.select("id", "source_id", "page", "parent_id").join(near, "id", "left_semi"))
     a, b = fused.join(place, "id"), mine.join(place, "id")
     ga, gb = R.group_hits(a, by), R.group_hits(b, by)
     cols = ["id", "source_id", "page", "parent_id", "rrf_score", "units"]
