@@ -37,10 +37,12 @@ def one_hop(edges: DataFrame, degrees: DataFrame, name: str, types: list[str] |
 
 
 def hub(nodes: DataFrame, edges: DataFrame, label: str, branches: dict[str, str], most: int = 20) -> DataFrame:
-    """name and, for each branch (column: edge type), its distinct sorted ends, at most `most`."""
+    """name and, for each branch (column: edge type), its distinct sorted ends, at most `most`. Ends of
+    other nodes than these go before anything is told apart or sorted."""
     out = nodes.filter(F.col("label") == label).select("name")
+    mine = out.distinct()
     for column, kind in branches.items():
-        ends = both_ways(edges.filter(F.col("type") == kind)).select("name", "other").distinct()
+        ends = both_ways(edges.filter(F.col("type") == kind)).select("name", "other").join(mine, "name", "left_semi").distinct()
         best = ends.withColumn("at", F.row_number().over(Window.partitionBy("name").orderBy("other"))).filter(F.col("at") <= most)
         part = best.groupBy("name").agg(F.array_sort(F.collect_set("other")).alias(column))
         out = out.join(part, "name", "left").withColumn(column, F.coalesce(column, F.array().cast("array<string>")))
